@@ -299,3 +299,68 @@ def with_ctes(*blocks: str, select: str) -> str:
 
 def team_ctes() -> list[str]:
     return [SHIM_SCHEDULE, DIM_MATCH, MATCHES_BY_TEAM]
+
+
+# --------------------------------------------------------------------------
+# Player mart, literal form
+# --------------------------------------------------------------------------
+def _player_sql() -> str:
+    from touchline.operators.player_season import SEASON_RANKS, SEASON_TOTALS
+    from touchline.plans.match_level_player import APPEARANCE_TIEBREAK
+    from touchline.schemas import PLAYER_COLUMNS
+
+    pcols = ", ".join(f"pms.{c}" for c in PLAYER_COLUMNS)
+    tiebreak = ", ".join(f"{c} ASC NULLS LAST" for c in APPEARANCE_TIEBREAK)
+    totals = ",\n    ".join(
+        f"CAST(sum({src}) OVER (PARTITION BY player_id, season_id, team_name) AS BIGINT) AS {t}"
+        for t, src in SEASON_TOTALS)
+    ranks = ",\n    ".join(
+        f"CAST(dense_rank() OVER (PARTITION BY team_name, season_id ORDER BY {t} DESC NULLS LAST, player ASC NULLS LAST) AS INTEGER) AS {r}"
+        for r, t in SEASON_RANKS)
+    return f"""
+pl_joined AS (
+  SELECT pms.*, mbt.season_id AS season_id, mbt.match_week_number AS match_week_number, mbt.match_date AS match_date
+  FROM player_match_stats pms
+  LEFT JOIN matches_by_team mbt ON pms.match_id = mbt.match_id AND pms.team_name = mbt.team_name
+),
+primary_position_by_season AS (
+  SELECT player_id, season_id, primary_position, CAST(sum(minutes) AS BIGINT) AS total_minutes,
+    CAST(row_number() OVER (PARTITION BY player_id, season_id
+                            ORDER BY sum(minutes) DESC NULLS LAST, primary_position ASC NULLS LAST) AS INTEGER) AS season_primary_position_rank
+  FROM pl_joined
+  GROUP BY player_id, season_id, primary_position
+),
+pl_grouped AS (
+  SELECT {pcols},
+    pp.primary_position AS season_primary_position,
+    pms.match_week_number, pms.season_id, pms.match_date,
+    try_cast(split_part(pms.age, '-', 1) AS INTEGER) + try_cast(split_part(pms.age, '-', 2) AS INTEGER) / 365 AS age_numeric,
+    count(DISTINCT pc.primary_position) AS season_primary_position_count
+  FROM pl_joined pms
+  LEFT JOIN primary_position_by_season pp
+    ON pms.player_id = pp.player_id AND pms.season_id = pp.season_id AND pp.season_primary_position_rank = 1
+  LEFT JOIN primary_position_by_season pc
+    ON pms.player_id = pc.player_id AND pms.season_id = pc.season_id
+  GROUP BY {pcols}, pp.primary_position, pms.match_week_number, pms.season_id, pms.match_date
+),
+pl_windows AS (
+  SELECT *,
+    min(age_numeric) OVER (PARTITION BY player_id, season_id) AS age_at_season_start,
+    max(age_numeric) OVER (PARTITION BY player_id, season_id) AS age_at_season_end,
+    avg(age_numeric) OVER (PARTITION BY player_id, season_id) AS average_age_per_season,
+    CAST(row_number() OVER (PARTITION BY player_id, season_id ORDER BY match_date ASC NULLS LAST, {tiebreak}) AS INTEGER) AS season_appearances_number,
+    {totals}
+  FROM pl_grouped
+),
+match_level_player_data AS (
+  SELECT *,
+    {ranks}
+  FROM pl_windows
+)"""
+
+
+PLAYER_MART = _player_sql()
+
+
+def player_ctes() -> list[str]:
+    return [SHIM_SCHEDULE, SHIM_PLAYERS, DIM_MATCH, MATCHES_BY_TEAM, PLAYER_MART]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline import oracle as O
 from touchline.plans.dim_match import dim_match
+from touchline.plans.match_level_player import match_level_player_data
 from touchline.plans.matches_by_team import matches_by_team
 from touchline.sources import shim
 
@@ -52,6 +53,11 @@ def q_matches_by_team(spark, sf_dir):
     return league_matches_by_team(spark, sf_dir)
 
 
+@register("match_level_player_data", O.with_ctes(*O.player_ctes(), select="SELECT * FROM match_level_player_data"))
+def q_match_level_player(spark, sf_dir):
+    return match_level_player_data(shim.player_match_stats(spark, sf_dir), league_matches_by_team(spark, sf_dir))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
