@@ -364,3 +364,54 @@ PLAYER_MART = _player_sql()
 
 def player_ctes() -> list[str]:
     return [SHIM_SCHEDULE, SHIM_PLAYERS, DIM_MATCH, MATCHES_BY_TEAM, PLAYER_MART]
+
+
+# --------------------------------------------------------------------------
+# Play-off mart, literal form (max_by/min_by skip NULL values natively)
+# --------------------------------------------------------------------------
+_ORD = "CASE WHEN match_date IS NOT NULL THEN {'d': match_date, 'w': match_week_number} END"
+PLAYOFF_MART = f"""
+regular_season_summary AS (
+  SELECT team_name, team_id, season_id,
+    max(match_week_number) AS match_count,
+    max_by(current_match_week_position, match_week_number) AS regular_season_end_position,
+    max_by(season_points, match_week_number) AS regular_season_end_points,
+    max_by(season_points, match_week_number) / max(match_week_number) AS regular_season_end_points_per_match,
+    max_by(season_goal_difference, match_week_number) AS regular_season_end_goal_difference,
+    max_by(season_goals_scored, match_week_number) AS regular_season_end_goals_scored,
+    max_by(current_match_week_position_goals_scored_best_offense, match_week_number) AS regular_season_end_goals_scored_rank,
+    max_by(season_goals_scored, match_week_number) / max(match_week_number) AS regular_season_end_goals_scored_per_match,
+    max_by(season_goals_conceded, match_week_number) AS regular_season_end_goals_conceded,
+    max_by(current_match_week_position_goals_conceded_best_defence, match_week_number) AS regular_season_end_goals_conceded_rank,
+    max_by(season_goals_conceded, match_week_number) / max(match_week_number) AS regular_season_end_goals_conceded_per_match,
+    max(consecutive_win_count) AS regular_season_longest_consecutive_win_count,
+    count(DISTINCT CASE WHEN match_outcome = 'Win' THEN match_id END) / count(DISTINCT match_id) AS regular_season_win_percentage
+  FROM matches_by_team
+  WHERE game_type = 'Regular Season' AND CAST(split_part(season_id, '_', 2) AS INTEGER) < year(current_date)
+  GROUP BY ALL
+),
+playoff_history AS (
+  SELECT team_name, team_id, season_id,
+    min_by(match_location, {_ORD}) AS first_playoff_round_match_location,
+    count(DISTINCT CASE WHEN match_location = 'Home' THEN match_id END) / count(DISTINCT match_id) AS playoff_run_home_percentage,
+    max_by(game_type, {_ORD}) AS playoff_run_latest_round,
+    max_by(match_outcome, {_ORD}) AS playoff_run_latest_round_match_outcome
+  FROM matches_by_team
+  WHERE game_type <> 'Regular Season' AND CAST(split_part(season_id, '_', 2) AS INTEGER) < year(current_date)
+  GROUP BY ALL
+),
+playoff_champions AS (
+  SELECT r.*,
+    CASE WHEN p.first_playoff_round_match_location = 'Home' THEN 1 ELSE 0 END AS first_playoff_round_match_location_is_home,
+    p.playoff_run_home_percentage,
+    CASE WHEN p.playoff_run_latest_round = 'Final' AND p.playoff_run_latest_round_match_outcome = 'Win' THEN 'Playoff Champions'
+         WHEN p.playoff_run_latest_round IS NOT NULL THEN 'Lost in ' || p.playoff_run_latest_round
+         ELSE 'Missed Playoffs' END AS playoff_result,
+    CASE WHEN p.playoff_run_latest_round = 'Final' AND p.playoff_run_latest_round_match_outcome = 'Win' THEN 1 ELSE 0 END AS is_playoff_champion
+  FROM regular_season_summary r
+  LEFT JOIN playoff_history p ON r.team_id = p.team_id AND r.season_id = p.season_id
+)"""
+
+
+def playoff_ctes() -> list[str]:
+    return [*team_ctes(), PLAYOFF_MART]

@@ -15,6 +15,7 @@ from touchline import oracle as O
 from touchline.plans.dim_match import dim_match
 from touchline.plans.match_level_player import match_level_player_data
 from touchline.plans.matches_by_team import matches_by_team
+from touchline.plans.playoff_champions import playoff_champions, playoff_history, regular_season_summary
 from touchline.sources import shim
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,22 @@ def q_match_level_player(spark, sf_dir):
     return match_level_player_data(shim.player_match_stats(spark, sf_dir), league_matches_by_team(spark, sf_dir))
 
 
+@register("regular_season_summary", O.with_ctes(*O.playoff_ctes(), select="SELECT * FROM regular_season_summary"))
+def q_regular_season_summary(spark, sf_dir):
+    return regular_season_summary(league_matches_by_team(spark, sf_dir))
+
+
+@register("playoff_history", O.with_ctes(*O.playoff_ctes(), select="SELECT * FROM playoff_history"))
+def q_playoff_history(spark, sf_dir):
+    return playoff_history(league_matches_by_team(spark, sf_dir))
+
+
+@register("playoff_champions", O.with_ctes(
+    *O.playoff_ctes(), select="SELECT * FROM playoff_champions WHERE playoff_result <> 'Missed Playoffs'"))
+def q_playoff_champions(spark, sf_dir):
+    return playoff_champions(league_matches_by_team(spark, sf_dir))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
