@@ -32,18 +32,22 @@ SEASON_KEY_REPLACE = {"/": "_", " ": "_"}
 DATE_KEY_REPLACE = {"/": "-", " ": "_", ":": "-"}
 # ---------------------------------------------------------------------------
 
-_WS = r"[\s\p{Z}]"
+# Characters Python's ``str.strip()`` removes: every code point with
+# ``isspace()``, derived by rule (29 characters, none above U+3000).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def strip(c) -> Column:
-    """Remove leading/trailing whitespace incl. non-breaking spaces (like ``str.strip``)."""
-    return F.regexp_replace(col(c), rf"^{_WS}+|{_WS}+$", "")
+    """Remove leading/trailing whitespace incl. non-breaking spaces (like ``str.strip``).
+
+    A plain character-set trim: no regex, one pass over the string.
+    """
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c) -> Column:
     """Empty text -> NULL."""
-    c = col(c)
-    return F.when(c != "", c)
+    return F.nullif(col(c), F.lit(""))
 
 
 def clean_text(c) -> Column:
@@ -74,11 +78,18 @@ def F_quote(s: str) -> str:
     return "".join(out)
 
 
+def after_marker(c, marker: str) -> Column:
+    """Text after the first occurrence of ``marker`` ('' when absent)."""
+    c = col(c)
+    pos = F.instr(c, marker)
+    return F.when(pos > 0, F.substr(c, pos + F.lit(len(marker)))).otherwise(F.lit(""))
+
+
 # N2 / N3
 def url_token(c, marker: str) -> Column:
     """First path token after ``marker``; NULL if the marker is absent or the token is empty."""
     c = col(c)
-    token = F.regexp_extract(c, F_quote(marker) + "([^/]*)", 1)
+    token = F.split_part(after_marker(c, marker), F.lit("/"), F.lit(1))
     return F.when(c.contains(marker), blank_to_null(token))
 
 
@@ -94,7 +105,7 @@ def player_id_from_url(c) -> Column:
 def name_from_slug(c, marker: str = PLAYER_URL_MARKER) -> Column:
     """Second token after the marker with ``-`` as space; NULL if absent or blank."""
     c = col(c)
-    slug = F.regexp_extract(c, F_quote(marker) + "[^/]*/([^/]*)", 1)
+    slug = F.split_part(after_marker(c, marker), F.lit("/"), F.lit(2))
     return F.when(c.contains(marker), clean_text(F.translate(slug, "-", " ")))
 
 
@@ -102,7 +113,7 @@ def name_from_slug(c, marker: str = PLAYER_URL_MARKER) -> Column:
 def nationality_code(c) -> Column:
     """Last whitespace token that is upper case and >= 2 long, else the last token."""
     s = strip(c)
-    parts = F.split(s, r"[\s\p{Z}]+")
+    parts = F.split(s, "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]+")
     codes = F.filter(parts, lambda p: (F.length(p) >= 2) & (F.upper(p) == p) & (F.lower(p) != p))
     last = F.try_element_at(parts, F.lit(-1))
     return F.when(s != "", F.coalesce(F.try_element_at(codes, F.lit(-1)), last))
@@ -119,11 +130,11 @@ def primary_position(c) -> Column:
 def naive_score_split(c) -> tuple[Column, Column]:
     """Split on the first ``-``: (home text, away text); NULL when no dash."""
     c = col(c)
-    parts = F.split(c, "-", 2)
-    has = c.contains("-")
+    pos = F.instr(c, "-")
+    has = pos > 0
     return (
-        F.when(has, clean_text(parts.getItem(0))),
-        F.when(has, clean_text(parts.getItem(1))),
+        F.when(has, clean_text(F.substr(c, F.lit(1), pos - 1))),
+        F.when(has, clean_text(F.substr(c, pos + 1))),
     )
 
 
@@ -202,7 +213,12 @@ def trim_score(c) -> Column:
 
 
 # D2
-def parse_score(c) -> dict[str, Column]:
+def is_shootout(c) -> Column:
+    """Does the text contain a shoot-out score ``(h) a-b (p)``? (NULL -> false)."""
+    return F.coalesce(col(c).rlike(SHOOTOUT_PATTERN), F.lit(False))
+
+
+def parse_score(c, shootout_flag=None) -> dict[str, Column]:
     """Score text -> home/away goals and shoot-out goals (ints).
 
     A shoot-out score ``(4) 1-1 (2)`` anywhere in the text fills all four
@@ -210,7 +226,7 @@ def parse_score(c) -> dict[str, Column]:
     strictly (bad text raises, like a strict cast).
     """
     s = col(c)
-    is_so = s.rlike(SHOOTOUT_PATTERN)
+    is_so = is_shootout(s) if shootout_flag is None else col(shootout_flag)
 
     def grp(i):
         return F.regexp_extract(s, SHOOTOUT_PATTERN, i).cast("int")

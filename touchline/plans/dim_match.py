@@ -44,9 +44,13 @@ def match_result(h, a, hp, ap, notes) -> F.Column:
 
 
 def dim_match(match_stats: DataFrame) -> DataFrame:
-    parsed = X.parse_score(X.trim_score("score"))
+    # Materialise the cleaned score first so the score parser reads a column,
+    # not a re-evaluated expression.
+    df = match_stats.withColumn("_score_clean", X.trim_score("score"))
+    df = df.withColumn("_is_shootout", X.is_shootout("_score_clean"))
+    parsed = X.parse_score("_score_clean", "_is_shootout")
     kickoff = F.to_timestamp(F.col("start_time"), TIME_PATTERN)
-    df = match_stats.select("*", *[v.alias(k) for k, v in parsed.items()], kickoff.alias("_kickoff"))
+    df = df.select("*", *[v.alias(k) for k, v in parsed.items()], kickoff.alias("_kickoff"))
     h, a = F.col("home_team_score"), F.col("away_team_score")
     hp, ap = F.col("home_penalty_shootout_goals"), F.col("away_penalty_shootout_goals")
     return df.select(

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from touchline.operators.running import season_running
+from touchline.operators.running import TEAM_KEYS, season_running
+from touchline.operators.sequence import GRAIN_KEY, partition_by_grain
 from touchline.operators.sides import SIDE_COLUMNS, team_sides
 from touchline.operators.standings import standings
 
@@ -13,10 +14,11 @@ from touchline.operators.standings import standings
 def team_match_rows(dim_match: DataFrame) -> DataFrame:
     """Distinct side rows (T1-T8), before any window."""
     sides = team_sides(dim_match)
-    # Whole-row distinct (T8). Partitioning by (team, season, date) first lets
-    # the dedup, the per-date aggregate and the in-date numbering reuse one
-    # shuffle; the key includes the date so a hot team-season still spreads.
-    return sides.repartition("team_id", "season_id", "match_date").dropDuplicates(SIDE_COLUMNS)
+    # Whole-row distinct (T8). Partitioning by the (team, season, date) key
+    # first lets the dedup, the per-date aggregate, the join back and the
+    # in-date numbering reuse one shuffle; the key includes the date so a hot
+    # team-season still spreads over many tasks.
+    return partition_by_grain(sides, TEAM_KEYS, "match_date").dropDuplicates(SIDE_COLUMNS + [GRAIN_KEY])
 
 
 def matches_by_team(dim_match: DataFrame) -> DataFrame:

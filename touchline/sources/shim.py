@@ -33,8 +33,23 @@ LEAGUE_ID = "73"
 N_NATIONS = 25  # size of the fixed `nation` dimension
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(df) if spread else df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard.
+
+    A table stored as a single row group scans in one task. When a scan has
+    fewer partitions than the cluster's default parallelism, spread it
+    round-robin; on real multi-file inputs this is a no-op (no extra shuffle).
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def _hex8(c):
@@ -42,13 +57,9 @@ def _hex8(c):
     return F.lpad(h, F.greatest(F.lit(8), F.length(h)), "0")
 
 
-def _m(c, n):
-    return F.col(c) % F.lit(n)
-
-
 def schedule_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schedule rows as captured (before score/URL normalisation)."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # `nation` is a fixed 25-row dimension: broadcasting it is size-safe.
@@ -106,13 +117,13 @@ def schedule_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def match_stats(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
     """Stored match table: capture -> score normalise (N1) -> naive split
     -> match id (N2) -> spreadsheet-safe score (S12, as read back from CSV)."""
-    cap = schedule_capture(spark, sf_dir)
-    score = X.normalize_score("score")
-    hs, as_ = X.naive_score_split(score)
     cols = [c for c, _ in MATCH_STATS_COLUMNS]
+    # The normalised score is materialised once; later expressions reference it.
+    cap = schedule_capture(spark, sf_dir).withColumn("_score", X.normalize_score("score"))
+    hs, as_ = X.naive_score_split("_score")
     out = cap.select(
         *[c for c in cols if c not in ("score", "home_score", "away_score", "match_id")],
-        F.when(score.isNotNull(), F.concat(F.lit("'"), score)).alias("score"),
+        F.when(F.col("_score").isNotNull(), F.concat(F.lit("'"), F.col("_score"))).alias("score"),
         hs.alias("home_score"),
         as_.alias("away_score"),
         X.match_id_from_url("match_report").alias("match_id"),
@@ -123,7 +134,7 @@ def match_stats(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> Dat
 
 def player_capture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(outfield rows, keeper rows) as extracted from match pages."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem", spread=True).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
