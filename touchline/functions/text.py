@@ -156,7 +156,7 @@ DATE_FORMATS = ["M/d/yyyy", "d MMMM yyyy", "MMMM d, yyyy"]
 def try_parse_date(c) -> Column:
     """Tolerant date parse: ISO first, then a few common text layouts; else NULL."""
     s = strip(c)
-    tries = [s.try_cast("date")] + [F.try_to_date(s, F.lit(f)) if hasattr(F, "try_to_date") else F.expr(f"try_to_date({s}, '{f}')") for f in DATE_FORMATS]
+    tries = [s.try_cast("date")] + [F.try_to_date(s, f) for f in DATE_FORMATS]
     return F.coalesce(*tries)
 
 

@@ -10,12 +10,15 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchline import oracle as O
 from touchline.plans.dim_match import dim_match
 from touchline.plans.match_level_player import match_level_player_data
 from touchline.plans.matches_by_team import matches_by_team
 from touchline.plans.playoff_champions import playoff_champions, playoff_history, regular_season_summary
+from touchline.operators import extract
+from touchline.sources import pages as page_src
 from touchline.sources import shim
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +78,32 @@ def q_playoff_champions(spark, sf_dir):
     return playoff_champions(league_matches_by_team(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- extraction
+@register("schedule_html_roundtrip", O.with_ctes(O.SHIM_SCHEDULE, select="SELECT * FROM match_stats"))
+def q_schedule_html_roundtrip(spark, sf_dir):
+    """Render schedule pages from the capture, extract them again (X1-X7) and
+    store the score spreadsheet-safe (S12, as read back)."""
+    rows = extract.schedule_rows(page_src.schedule_pages(spark, sf_dir), base_url=shim.BASE_URL)
+    return rows.select(*[F.when(F.col("score").isNotNull(), F.concat(F.lit("'"), F.col("score"))).alias("score")
+                         if c == "score" else F.col(c) for c in rows.columns if not c.startswith("_")])
+
+
+@register("player_html_roundtrip", O.with_ctes(
+    O.SHIM_SCHEDULE, O.SHIM_PLAYERS,
+    select="SELECT * REPLACE (coalesce(age, '0') AS age) FROM player_match_stats"))
+def q_player_html_roundtrip(spark, sf_dir):
+    """Render match pages, extract outfield + keeper tables and merge them.
+
+    An empty age cell is captured as "0", so stored NULL ages come back as "0".
+    """
+    return extract.player_match_rows(page_src.match_pages(spark, sf_dir), base_url=shim.BASE_URL)
+
+
+@register("page_links", O.PAGE_LINKS)
+def q_page_links(spark, sf_dir):
+    return extract.page_links(shim.read_table(spark, sf_dir, "pages", spread=True)).drop("link_pos")
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

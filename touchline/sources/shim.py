@@ -134,13 +134,21 @@ def match_stats(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> Dat
 
 def player_capture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(outfield rows, keeper rows) as extracted from match pages."""
+    outfield, keeper = player_capture_raw(spark, sf_dir)
+    helpers = ["_line", "_pk", "_ok", "order_key", "page_url"]
+    return outfield.drop(*helpers), keeper.drop(*[h for h in helpers if h in keeper.columns])
+
+
+def player_capture_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Captured rows plus helper columns (order key, page URL, line number)."""
     li = read_table(spark, sf_dir, "lineitem", spread=True).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = F.broadcast(read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nat"), F.col("n_name").alias("s_nation")))
-    m = match_stats(spark, sf_dir, keep_key=True).select("order_key", "home_team", "away_team", "match_id")
+    m = match_stats(spark, sf_dir, keep_key=True).select("order_key", "home_team", "away_team", "match_id",
+                                                         F.col("match_report").alias("page_url"))
 
     df = (
         li.join(m, li.l_orderkey == m.order_key)
@@ -193,17 +201,19 @@ def player_capture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         ln.alias("_line"),
         pk.alias("_pk"),
         ok.alias("_ok"),
+        F.col("order_key"),
+        F.col("page_url"),
     )
-    helpers = ["_line", "_pk", "_ok"]
-    outfield = base.drop(*helpers)
+    outfield = base
     kpk, kok = F.col("_pk"), F.col("_ok")
     # Keeper cells are captured as text; an empty cell is coerced to 0 by the merge.
     keeper = base.filter(F.col("_line") == 1).select(
-        "team_name", "player_url", "player_id", "match_id", "player", "nationality",
+        "team_name", "player_url", "player_id", "match_id", "player", "lineup_status", "nationality",
         (kpk % 9).cast("string").alias("gk_shots_on_target_against"),
         (kok % 4).cast("string").alias("gk_goals_against"),
         (kpk % 7).cast("string").alias("gk_saves"),
         F.when(kpk % 9 != 0, ((kpk % 7) * 10).cast("string")).otherwise(F.lit("")).alias("gk_save_pct"),
+        "_line", "order_key", "page_url",
     )
     return outfield, keeper
 
