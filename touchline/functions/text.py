@@ -202,7 +202,7 @@ def date_from_player_filename(path, season_id) -> Column:
     base = F.regexp_extract(col(path), r"([^/]*)$", 1)
     prefix = F.concat(lit_str("player_match_data_"), season_file_key(season_id), lit_str("_"))
     ok = base.startswith(prefix) & base.endswith(".csv")
-    inner = F.substring(base, F.length(prefix) + 1, F.length(base) - F.length(prefix) - 4)
+    inner = F.substr(base, F.length(prefix) + 1, F.length(base) - F.length(prefix) - 4)
     return F.when(ok, blank_to_null(inner))
 
 

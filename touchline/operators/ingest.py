@@ -44,6 +44,12 @@ def season_filter(df: DataFrame, season_id: str | None, col: str = "season_id")
     return df.filter(F.trim(F.col(col).cast("string")) == str(season_id).strip())
 
 
+def season_filter_by(df: DataFrame, seasons: DataFrame, col: str = "season_id") -> DataFrame:
+    """R2 with the seasons given as a (small) DataFrame: trimmed equality as a semi join."""
+    s = seasons.select(F.trim(F.col("season_id").cast("string")).alias("_sf_season")).distinct()
+    return df.join(s, F.trim(F.col(col).cast("string")) == F.col("_sf_season"), "left_semi")
+
+
 def _parse_param_date(value) -> _dt.date | None:
     if value is None:
         return None
@@ -142,9 +148,9 @@ def schedule_lookup(requested: DataFrame, season_files: DataFrame, consolidated:
     """
     def prep(df, prio):
         cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in SCHEDULE_REQUIRED]
-        order_cols = [F.col(c) for c in ("file_order", "row_order") if c in df.columns]
-        rank = F.struct(*order_cols) if order_cols else F.lit(None)
-        return df.select(*cols, F.lit(prio).alias("_prio"), rank.alias("_rank"))
+        f = F.col("file_order").cast("long") if "file_order" in df.columns else F.lit(0).cast("long")
+        r = F.col("row_order").cast("long") if "row_order" in df.columns else F.lit(0).cast("long")
+        return df.select(*cols, F.lit(prio).alias("_prio"), f.alias("_file"), r.alias("_row"))
 
     cands = prep(season_files, 0)
     if consolidated is not None:
@@ -152,7 +158,7 @@ def schedule_lookup(requested: DataFrame, season_files: DataFrame, consolidated:
     cands = cands.filter(F.col("season_id").isNotNull())
     best = cands.groupBy("season_id").agg(
         F.min_by(F.struct(*[c for c in SCHEDULE_REQUIRED if c != "season_id"]),
-                 F.struct("_prio", "_rank")).alias("row"))
+                 F.struct("_prio", "_file", "_row")).alias("row"))
     req = requested.select("season_id").distinct()
     league = F.split_part(F.col("season_id"), F.lit("_"), F.lit(1))
     year = F.split_part(F.col("season_id"), F.lit("_"), F.lit(2))

@@ -110,3 +110,7 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+
+
+# Operator-level queries register themselves on import.
+from touchline import operator_queries  # noqa: E402,F401
