@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -58,3 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """Location for an intermediate table written to cut lineage."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the shared checkpoint folder (reliable checkpoint).
+
+    Used where several branches consume the same expensive intermediate; the
+    checkpoint keeps the known partitioning, so consumers that need it do not
+    shuffle again, and a lost executor re-reads the files instead of
+    recomputing the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -169,6 +169,9 @@ def player_capture_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     def cnt(a, b, m_):
         return ((pk * a + ok * b + ln) % m_).cast("long")
 
+    # URL and position are built once; the derived columns read them.
+    df = df.withColumn("_url", url).withColumn("_position", position)
+    url, position = F.col("_url"), F.col("_position")
     base = df.select(
         team.alias("team_name"),
         url.alias("player_url"),
