@@ -464,3 +464,32 @@ def q_table_counts(spark, sf_dir):
         "player_match_stats": shim.player_match_stats(spark, sf_dir),
         "schedule_capture": shim.schedule_capture(spark, sf_dir),
     })
+
+
+# ============================================================ CSV raw layer
+@register("csv_raw_roundtrip", sql(PLAYERS, """
+SELECT p.* REPLACE (CASE WHEN m.season_id = '73_1995' THEN NULL ELSE p.lineup_status END AS lineup_status)
+FROM player_match_stats p LEFT JOIN match_stats m ON p.match_id = m.match_id"""))
+def q_csv_raw_roundtrip(spark, sf_dir):
+    """S9 per-season CSV sink, then S2/S14/S5 read back by header group.
+
+    Files of the first season are written as an older capture would have
+    written them: ``tackles_wom`` for ``tackles_won`` and no ``lineup_status``
+    column. The files go to the shared checkpoint folder.
+    """
+    import os
+    import uuid
+
+    from touchline.session import checkpoint_dir
+
+    path = os.path.join(checkpoint_dir(spark), "csv_raw", uuid.uuid4().hex)
+    pms = shim.player_match_stats(spark, sf_dir)
+    ms = shim.match_stats(spark, sf_dir).select("match_id", "season_id", "date")
+    keyed = pms.join(ms, "match_id", "left")
+    old_season = F.col("season_id") == "73_1995"
+    old = keyed.filter(old_season).drop("lineup_status").withColumnRenamed("tackles_won", "tackles_wom")
+    new = keyed.filter(~old_season | F.col("season_id").isNull())
+    # Per-season files (S9); the per-day layout (S10) is exercised by the rebuild test.
+    S.write_partitioned(new.drop("date"), path, ["season_id"])
+    S.write_partitioned(old.drop("date"), path, ["season_id"])   # dynamic overwrite: adds the old season only
+    return S.load_player_match_stats(spark, path)
