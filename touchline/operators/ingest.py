@@ -47,7 +47,8 @@ def season_filter(df: DataFrame, season_id: str | None, col: str = "season_id")
 def season_filter_by(df: DataFrame, seasons: DataFrame, col: str = "season_id") -> DataFrame:
     """R2 with the seasons given as a (small) DataFrame: trimmed equality as a semi join."""
     s = seasons.select(F.trim(F.col("season_id").cast("string")).alias("_sf_season")).distinct()
-    return df.join(s, F.trim(F.col(col).cast("string")) == F.col("_sf_season"), "left_semi")
+    return df.filter(F.col(col).isNotNull()).join(s, F.trim(F.col(col).cast("string")) == F.col("_sf_season"),
+                                                  "left_semi")
 
 
 def _parse_param_date(value) -> _dt.date | None:
@@ -127,7 +128,9 @@ def missing_dates(matches: DataFrame, stored: DataFrame, date_col: str = "date")
     keyed = matches.withColumn("_d", F.date_format(X.try_parse_date(date_col), "yyyy-MM-dd"))
     s = stored.select(F.col("season_id").alias("_s_season"), F.col("d").alias("_s_d"))
     cond = (keyed["season_id"] == s["_s_season"]) & (keyed["_d"] == s["_s_d"])
-    return keyed.join(s, cond, "left_anti").drop("_d")
+    # Rows with a NULL key are never stored: they bypass the anti join (no hot NULL partition).
+    has_key = F.col("season_id").isNotNull() & F.col("_d").isNotNull()
+    return keyed.filter(has_key).join(s, cond, "left_anti").unionByName(keyed.filter(~has_key)).drop("_d")
 
 
 def missing_date_list(matches: DataFrame, stored: DataFrame, date_col: str = "date") -> DataFrame:
