@@ -144,3 +144,19 @@ def test_player_extraction_and_keeper_merge(spark):
     assert (a["gk_saves"], a["gk_save_pct"]) == (4.0, 0.0)
     assert (c["player_id"], c["lineup_status"], c["minutes"], c["nationality"]) == (None, "Sub", 0, None)
     assert c["gk_saves"] == 0.0
+
+
+def test_season_dims_loader_fills_missing_columns(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "season_dims")
+    write(f"{d}/season_data_73_2021.csv",
+          "season_id,league_id,league_name,season_year_id,season_name,url\n73_2021,73,L,2021,2021 Season,https://h/s\n")
+    write(f"{d}/season_data_73_2022.csv", '"season_id","url","extra"\n"73_2022","https://h/t","x"\n')
+    rows = sorted((tuple(r) for r in S.load_season_dims(spark, d).collect()), key=lambda t: t[2])
+    assert rows == [("73", "L", "73_2021", "2021 Season", "https://h/s"), (None, None, "73_2022", None, "https://h/t")]
+
+
+def test_sort_by_season_date_nulls_last(spark):
+    df = spark.createDataFrame([("73_2021", "2021-05-01", "b"), ("73_2021", "bad", "a"), ("73_2021", "2021-04-01", "c"),
+                                ("73_2020", "2020-09-09", "d")], "season_id string, date string, u string")
+    got = [r["u"] for r in R.sort_by_season_date(df, tiebreak=["u"]).collect()]
+    assert got == ["d", "c", "b", "a"]
