@@ -10,6 +10,7 @@ piece is known by a 128-bit hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,9 @@ from touchline.llm.textbatch import constants, mix, powers, slices, text_bytes
 
 _U = np.uint64
 MOST_PIECES = 1 << 21  # the table starts anew beyond these (about 100 MB)
+AT_ONCE = 2_000  # new pieces encoded at once
+ALNUM = np.zeros(256, bool)  # ASCII letters and digits
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
 def piece_starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -51,13 +55,14 @@ class Pieces:
         self.tokenizer, self.dtype = tokenizer, dtype
         self.v1, self.v2 = constants(256, 301), constants(256, 302)
         self.fwd, self.inv = powers(1 << 16)
+        self.nul = tokenizer.encode("\0", add_special_tokens=False).ids[0]
         self.clear()
 
     def clear(self, log2: int = 17):
         self.size, self.count = 1 << log2, 0
         self.slot = np.full(self.size, -1, np.int32)
-        self.h1, self.h2 = np.empty(self.size, _U), np.empty(self.size, _U)
-        self.at, self.n = np.empty(self.size, np.int64), np.empty(self.size, np.int32)
+        half = self.size // 2
+        self.h1, self.h2, self.at, self.n = np.empty(half, _U), np.empty(half, _U), np.empty(half, np.int64), np.empty(half, np.int32)
         self.pool, self.used = np.empty(self.size * 2, self.dtype), 0
 
     def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -82,14 +87,47 @@ class Pieces:
             left = self.slot[where] != entries
             entries, where = entries[left], (where[left] + 1) & mask
 
-    def add(self, h1: np.ndarray, h2: np.ndarray, texts: list[str]):
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), self.dtype, int(n.sum()))
+    def _plain(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers of pieces that NUL may part in one text: none
+        holds it, all start with a space, letter or digit and end with a letter
+        or digit, so that the pre-tokenizer cuts on both sides of it."""
+        flat, n = [], []
+        for at in range(0, len(texts), AT_ONCE):
+            part = texts[at : at + AT_ONCE]
+            whole = self.tokenizer.encode_batch_fast([b"\0".join(part).decode()], add_special_tokens=False)[0].ids
+            ids = np.array(whole, self.dtype)
+            cut = np.flatnonzero(ids == self.nul)
+            assert len(cut) == len(part) - 1
+            n.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
+            flat.append(ids[ids != self.nul])
+        return np.concatenate(flat), np.concatenate(n)
+
+    def _single(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = []
+        for at in range(0, len(texts), AT_ONCE):
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts[at : at + AT_ONCE]], add_special_tokens=False)]
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), self.dtype, int(n.sum())), n
+
+    def add(self, h1: np.ndarray, h2: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray):
+        """Encode new pieces, given by their bytes' places, and place them."""
+        raw = data.tobytes()
+        first, last, before = data[start], data[start + size - 1], data[start + np.maximum(size - 2, 0)]
+        wide = (size > 1) & (before == 0xC3) & (last != 0x97) & (last != 0xB7)
+        plain = (ALNUM[first] | (first == 0x20) & (size > 1)) & (ALNUM[last] | wide)
+        texts = [raw[a:b] for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
+        if b"\0" in raw:
+            plain &= ~np.array([b"\0" in t for t in texts])
+        for chosen, how in ((np.flatnonzero(plain), self._plain), (np.flatnonzero(~plain), self._single)):
+            if len(chosen):
+                flat, n = how([texts[i] for i in chosen.tolist()])
+                self._keep(h1[chosen], h2[chosen], flat, n)
+
+    def _keep(self, h1, h2, flat, n):
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         self.pool[self.used : self.used + len(flat)] = flat
-        end = self.count + len(ids)
+        end = self.count + len(n)
         while 2 * end > self.size:
             grow = lambda x: np.concatenate([x, np.empty_like(x)])
             self.h1, self.h2, self.at, self.n = map(grow, (self.h1, self.h2, self.at, self.n))
@@ -125,8 +163,7 @@ class Pieces:
             first = np.ones(len(m), bool)
             first[1:] = (h1[m[1:]] != h1[m[:-1]]) | (h2[m[1:]] != h2[m[:-1]])
             m = m[first]
-            raw = data.tobytes()
-            self.add(h1[m], h2[m], [raw[a:b].decode() for a, b in zip(s[m].tolist(), (s[m] + size[m]).tolist(), strict=True)])
+            self.add(h1[m], h2[m], data, s[m], size[m])
             entry = self.find(h1, h2)
         n = self.n[entry].astype(np.int64)
         run = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
@@ -156,7 +193,7 @@ def encoder(path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         pieces = pieces_of(path)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 ids, off = pieces.encode(*text_bytes(part.column("text")))
                 ids = np.insert(ids, off[1:], end_id)
                 off = (off + np.arange(len(off))) * ids.itemsize
