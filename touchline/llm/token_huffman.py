@@ -8,8 +8,8 @@ Folder layout (Parquet, so any store that Spark reaches will do):
   codes, high bit first, padded to a byte; marks: the bit offsets of every
   ``MARK``-th token.
 
-Decoding looks up the next ``limit`` bits in one table and starts at all marks
-of a batch at once. A block needs nothing but the codebook.
+Decoding looks up the next ``limit`` bits (25 at most) in one table and starts at
+all marks of a batch at once. A block needs nothing but the codebook.
 """
 
 from __future__ import annotations
@@ -83,40 +83,29 @@ def _ids(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.tobytes(), dtype), off // width
 
 
-def _count(dtype: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            ids, _ = _ids(batch.column("ids"), dtype)
-            now = np.bincount(ids, minlength=len(total))
-            now[: len(total)] += total
-            total = now
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
-
-    return run
-
-
 def pack(ids: np.ndarray, off: np.ndarray, length_of: np.ndarray, code_of: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Documents of ids (none empty) -> their bytes and offsets, and their marks
     and offsets."""
     n = length_of[ids].astype(np.int64)
-    end = np.cumsum(n)
-    begin = end - n
-    doc_bits = np.add.reduceat(n, off[:-1])
+    begin = np.cumsum(n) - n
+    size, first = np.diff(off), begin[off[:-1]]
+    doc_bits = np.append(first[1:], begin[-1] + n[-1]) - first
     byte_off = np.concatenate([np.zeros(1, np.int64), np.cumsum((doc_bits + 7) // 8)])
-    size = np.diff(off)
-    at = begin - np.repeat(begin[off[:-1]], size)  # inside the document
-    pos = at + np.repeat(byte_off[:-1] * 8, size)
-    wide = (limit + 14) // 8
-    value = code_of[ids].astype(np.int64) << (8 * wide - n - (pos & 7))
-    out = np.zeros(byte_off[-1] + wide, np.float64)
-    for j in range(wide):
-        out += np.bincount((pos >> 3) + j, (value >> (8 * (wide - 1 - j))) & 255, len(out))
+    pos = begin + np.repeat(byte_off[:-1] * 8 - first, size)
+    # Codes go to 64-bit words; one that ends in the next word is cut in two.
+    word, room, code = pos >> 6, 64 - (pos & 63) - n, code_of[ids].astype(np.uint64)
+    over = np.flatnonzero(room < 0)
+    value = code << np.maximum(room, 0).astype(np.uint64)
+    value[over] = code[over] >> (-room[over]).astype(np.uint64)
+    start = np.flatnonzero(np.diff(word, prepend=-1))
+    words = np.zeros(int(byte_off[-1] + 15) // 8, np.uint64)
+    words[word[start]] = np.bitwise_or.reduceat(value, start)
+    words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+    out = words.astype(">u8").view(np.uint8)
     marks = (size + MARK - 1) // MARK
     mark_off = np.concatenate([np.zeros(1, np.int64), np.cumsum(marks)])
     nth = np.arange(mark_off[-1]) - np.repeat(mark_off[:-1], marks)
-    return out[: byte_off[-1]].astype(np.uint8), byte_off, at[np.repeat(off[:-1], marks) + nth * MARK], mark_off
+    return out[: byte_off[-1]], byte_off, begin[np.repeat(off[:-1], marks) + nth * MARK] - np.repeat(first, marks), mark_off
 
 
 def unpack(data: np.ndarray, byte_off: np.ndarray, marks: np.ndarray, mark_off: np.ndarray, size: np.ndarray, symbol: np.ndarray, length: np.ndarray, limit: int) -> np.ndarray:
@@ -128,19 +117,17 @@ def unpack(data: np.ndarray, byte_off: np.ndarray, marks: np.ndarray, mark_off:
     to = np.repeat(np.cumsum(size) - size, chunks) + nth * MARK
     order = np.argsort(-left, kind="stable")
     left, pos, to = left[order], pos[order], to[order]
-    wide = (limit + 14) // 8
-    data = np.concatenate([data, np.zeros(wide, np.uint8)]).astype(np.int64)
-    out, mask = np.empty(int(size.sum()), np.int64), (1 << limit) - 1
+    # The 32 bits from each byte on hold any code that starts in it.
+    data = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
+    ahead = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+    entry = symbol.astype(np.int64) << 6 | length
+    out, mask, shift = np.empty(int(size.sum()), np.int64), (1 << limit) - 1, 32 - limit
     for step in range(int(left[0]) if len(left) else 0):
         m = int(np.searchsorted(-left, -step, "left"))  # chunks with more than step tokens
         p = pos[:m]
-        b = p >> 3
-        v = data[b]
-        for j in range(1, wide):
-            v = v << 8 | data[b + j]
-        v = (v >> (8 * wide - limit - (p & 7))) & mask
-        out[to[:m] + step] = symbol[v]
-        pos[:m] += length[v]
+        e = entry[(ahead[p >> 3] >> (shift - (p & 7)).astype(np.uint32)) & mask]
+        out[to[:m] + step] = e >> 6
+        p += e & 63
     return out
 
 
@@ -209,14 +196,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
     spark = docs.sparkSession
     dtype = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs.mapInArrow(encoder(tokenizer, end_id), "doc_id long, ids binary").write.option("compression", "zstd").parquet(f"{folder}/ids")
+    docs.mapInArrow(encoder(tokenizer, end_id), "doc_id long, ids binary, seen array<int>, times array<long>").write.option("compression", "zstd").parquet(f"{folder}/ids")
     tokens = spark.read.parquet(f"{folder}/ids")
-    counts = tokens.select("ids").mapInArrow(_count(dtype), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toArrow()
+    counts = tokens.where("seen is not null").select(F.explode(F.arrays_zip("seen", "times")).alias("x")).groupBy(F.col("x.seen").alias("id")).agg(F.sum("x.times").alias("n")).orderBy("id").toArrow()
     # As many rows as the vocabulary has ids at most.
     lengths = code_lengths(counts.column("n").to_pylist())
     spark.createDataFrame(list(zip(counts.column("id").to_pylist(), lengths, strict=True)), "id long, length int").coalesce(1).write.parquet(f"{folder}/codebook")
     book = _book(spark.read.parquet(f"{folder}/codebook"))
-    placed = tokens.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
+    placed = tokens.where("ids is not null").withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
     blocks = placed.mapInArrow(_blocks(dtype, *book), "doc_id long, n_tokens long, bits binary, marks array<long>")
     blocks = blocks.select(F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("seq"), "doc_id", "n_tokens", "bits", "marks")
     blocks.write.option("compression", "zstd").parquet(f"{folder}/blocks")

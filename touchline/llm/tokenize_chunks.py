@@ -18,7 +18,8 @@ import pyarrow as pa
 from touchline.llm.textbatch import constants, mix, powers, slices, text_bytes
 
 _U = np.uint64
-MOST_PIECES = 1 << 21  # the table starts anew beyond these (about 100 MB)
+MOST_PIECES = 3 << 19  # the table starts anew beyond these (about 100 MB)
+EIGHT = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)  # masks of the first k bytes
 AT_ONCE = 2_000  # new pieces encoded at once
 ALNUM = np.zeros(256, bool)  # ASCII letters and digits
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
@@ -53,7 +54,7 @@ class Pieces:
 
     def __init__(self, tokenizer, dtype):
         self.tokenizer, self.dtype = tokenizer, dtype
-        self.v1, self.v2 = constants(256, 301), constants(256, 302)
+        self.values = constants(256, 301)
         self.fwd, self.inv = powers(1 << 16)
         self.nul = tokenizer.encode("\0", add_special_tokens=False).ids[0]
         self.clear()
@@ -145,13 +146,19 @@ class Pieces:
         if not len(data):
             return np.empty(0, self.dtype), np.zeros(len(docs), np.int64)
         if len(data) > len(self.fwd):
-            self.fwd, self.inv = powers(max(1 << 22, len(data)))
+            self.fwd, self.inv = powers(max(1 << 20, len(data)))
         s = piece_starts(data, docs)
         size = np.diff(s, append=len(data))
         with np.errstate(over="ignore"):
-            back, p = self.inv[s], self.fwd[: len(data)]
-            h1 = mix(np.add.reduceat(self.v1[data] * p, s) * back + size.astype(_U))
-            h2 = np.add.reduceat(self.v2[data] * p, s) * back
+            v = self.values[data]
+            v *= self.fwd[: len(data)]
+            h1 = mix(np.add.reduceat(v, s) * self.inv[s] + size.astype(_U))
+            # First and last eight bytes: with the size, all of a piece of up to sixteen.
+            eight = np.lib.stride_tricks.as_strided(np.concatenate([data, np.zeros(8, np.uint8)]).view(), (len(data) + 1, 8), (1, 1))
+            used = np.minimum(size, 8)
+            head = np.ascontiguousarray(eight[s]).view("<u8").ravel() & EIGHT[used]
+            tail = np.ascontiguousarray(eight[s + size - used]).view("<u8").ravel() & EIGHT[used]
+            h2 = mix(head) + tail * _U(0x9E3779B97F4A7C15)
         entry = self.find(h1, h2)
         miss = np.flatnonzero(entry < 0)
         if len(miss):
@@ -185,19 +192,26 @@ def pieces_of(path: str) -> Pieces:
 
 def encoder(path: str, end_id: int):
     """Batches (doc_id, text) -> doc_id, ids (little-endian, 2 or 4 bytes each)
-    with ``end_id`` after each document."""
+    with ``end_id`` after each document; then one row more for each partition,
+    without ids, with the ids seen and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pieces = pieces_of(path)
+        names, kinds = ["doc_id", "ids", "seen", "times"], (pa.list_(pa.int32()), pa.list_(pa.int64()))
+        pieces, total = pieces_of(path), np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 ids, off = pieces.encode(*text_bytes(part.column("text")))
                 ids = np.insert(ids, off[1:], end_id)
+                now = np.bincount(ids, minlength=len(total))
+                now[: len(total)] += total
+                total = now
                 off = (off + np.arange(len(off))) * ids.itemsize
                 raw = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(off.astype(np.int64).tobytes()), pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), raw.cast(pa.binary())], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), raw.cast(pa.binary()), pa.nulls(len(part), kinds[0]), pa.nulls(len(part), kinds[1])], names)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([seen.tolist()], kinds[0]), pa.array([total[seen].tolist()], kinds[1])], names)
 
     return run
