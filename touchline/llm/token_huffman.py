@@ -156,7 +156,9 @@ def _blocks(dtype: str, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray)
     return run
 
 
-def _decoded(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray):
+def _decoded(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray, digest: bool = False):
+    """Batches of blocks -> shard, seq, doc_id and the ids (4 bytes each), or
+    with ``digest`` their number and crc32."""
     limit = int(lengths.max(initial=1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,22 +173,20 @@ def _decoded(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray):
                 mark_off = m.offsets.to_numpy().astype(np.int64)
                 marks = m.values.to_numpy()[mark_off[0] : mark_off[-1]]
                 size = part.column("n_tokens").to_numpy()
-                tokens = unpack(data, byte_off, marks, mark_off - mark_off[0], size, symbol, length, limit).astype("<u4")
+                raw = unpack(data, byte_off, marks, mark_off - mark_off[0], size, symbol, length, limit).astype("<u4").tobytes()
                 off = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)]) * 4
-                raw = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(off.astype(np.int64).tobytes()), pa.py_buffer(tokens.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("shard", "seq", "doc_id")] + [raw], ["shard", "seq", "doc_id", "ids"])
+                place = [part.column(c) for c in ("shard", "seq", "doc_id")]
+                if digest:
+                    view = memoryview(raw)
+                    crc = [zlib.crc32(view[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*place, pa.array(np.diff(off) // 4), pa.array(crc, pa.int64())], ["shard", "seq", "doc_id", "n_tokens", "ids_crc32"])
+                else:
+                    column = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(off.astype(np.int64).tobytes()), pa.py_buffer(raw)]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([*place, column], ["shard", "seq", "doc_id", "ids"])
 
     return run
 
 
-def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("ids")
-        crc = [zlib.crc32(x.as_buffer()) for x in ids]
-        n = [x.as_buffer().size // 4 for x in ids]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "seq", "doc_id")), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["shard", "seq", "doc_id", "n_tokens", "ids_crc32"])
-
-
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> None:
     """Encode ``docs`` (doc_id, text) with the tokenizer file and write the
     token file to ``folder``. Null texts count as empty; each document ends
@@ -209,10 +209,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
     blocks.write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """shard, seq, doc_id, ids (4 bytes each, little-endian), decoded."""
+def read_tokens(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
+    """shard, seq, doc_id and the decoded ids (4 bytes each, little-endian); with
+    ``digest`` n_tokens and ids_crc32 in their place."""
     book = _book(spark.read.parquet(f"{folder}/codebook"))
-    return spark.read.parquet(f"{folder}/blocks").mapInArrow(_decoded(*book), "shard int, seq long, doc_id long, ids binary")
+    found = "n_tokens long, ids_crc32 long" if digest else "ids binary"
+    return spark.read.parquet(f"{folder}/blocks").mapInArrow(_decoded(*book, digest), f"shard int, seq long, doc_id long, {found}")
 
 
 def token_digests(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None = None) -> DataFrame:
@@ -222,7 +224,7 @@ def token_digests(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "tokens")
     write_tokens(docs, folder, tokenizer, end_id)
-    rows = read_tokens(spark, folder).mapInArrow(_checked, "shard int, seq long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = read_tokens(spark, folder, digest=True)
     shards = spark.read.parquet(f"{folder}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     shards = shards.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
