@@ -64,9 +64,10 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_times: in
     return rows.select("source", "source_size", F.coalesce(F.least("cap", F.col("weight") * F.col("level")), "cap").alias("target"))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come as
-    near to ``budget`` as possible; no more than there are of any."""
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, over: bool = True) -> np.ndarray:
+    """How many documents of each length to take so that their words come near
+    to ``budget``; no more than there are of any, and with ``over`` false no
+    more words than ``budget``."""
     total = int((lengths * counts).sum())
     take = np.zeros(len(lengths), np.int64)
     if budget <= 0 or total == 0:
@@ -118,10 +119,13 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
             take[i] += part
             best_at -= part * int(lengths[i])
     spare = np.flatnonzero((counts > take) & (lengths > 0))
-    if short and len(spare):  # a document more may come nearer than none
+    if short and over and len(spare):  # a document more may come nearer than none, less what makes up for the excess
         i = spare[np.argmin(np.abs(lengths[spare] - short))]
-        if abs(int(lengths[i]) - short) < short:
-            take[i] += 1
+        excess = int(lengths[i]) - short
+        more = take - fit_budget(lengths, take, excess, False)
+        more[i] += 1
+        if abs(int((lengths * more).sum()) - budget) < short:
+            return more
     return take
 
 
