@@ -14,7 +14,10 @@
    from one component to another.
 
 No pair of a group is listed beyond those neighbours, and the chance that a
-pair of similarity 0.8 shares no prefix in any tree is (1 - 0.8**3)**16 < 1e-4.
+pair of similarity 0.8 shares no prefix in any tree is (1 - 0.8**3)**20 < 1e-6.
+Two texts of the least similarity that lie in a region of very many that are
+nearly as similar can still miss each other; through any third text that links
+with both they meet all the same.
 """
 
 from __future__ import annotations
@@ -30,7 +33,10 @@ from touchline.llm.components import connected_components
 from touchline.llm.shared import bitmap, materialised, may_hold
 from touchline.llm.textbatch import SPACED, Hasher, constants, doc_index, grams, list_column, mix, signed, slices, text_bytes
 
-TREES, DEPTH, SHALLOW, REACH, FIRST_TREES = 16, 8, 3, 6, 3
+TREES, DEPTH, SHALLOW, REACH, FIRST_TREES = 20, 8, 3, 12, 3
+SKETCH = TREES * DEPTH // 4  # bytes that hold the low two bits of every MinHash value
+MARGIN = 0.16  # about five standard deviations of the estimate
+DIFFERING = np.array([((b | b >> 1) & 0x55).bit_count() for b in range(256)], np.uint8)  # pairs of bits that are not 00
 _U = np.uint64
 
 
@@ -100,32 +106,43 @@ def _signatures(k: int):
                 sig = _minhashes(g, off, mult, add)
                 width = sig.shape[1] * 4
                 raw = pa.Array.from_buffers(pa.binary(width), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(off)), pa.array(signed(hi)), pa.array(signed(lo)), raw], ["doc_id", "n_shingles", "hi", "lo", "sig"])
+                two = (sig & 3).astype(np.uint8).reshape(len(sig), -1, 4)
+                two = np.ascontiguousarray(two[:, :, 0] | two[:, :, 1] << 2 | two[:, :, 2] << 4 | two[:, :, 3] << 6)
+                sketch = pa.Array.from_buffers(pa.binary(SKETCH), len(sig), [None, pa.py_buffer(two.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(off)), pa.array(signed(hi)), pa.array(signed(lo)), raw, sketch], ["doc_id", "n_shingles", "hi", "lo", "sig", "sketch"])
 
     return run
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (tree, key, id) in order -> pairs of near classes."""
-    tree, ids, keys = np.empty(0, np.int32), np.empty(0, np.int64), np.empty((0, DEPTH), ">u4")
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        old = len(ids)
-        raw, _ = text_bytes(batch.column("key"))
-        tree = np.concatenate([tree, batch.column("tree").to_numpy()])
-        ids = np.concatenate([ids, batch.column("id").to_numpy()])
-        keys = np.concatenate([keys, np.frombuffer(raw.tobytes(), ">u4").reshape(-1, DEPTH)])
-        for j in range(1, REACH + 1):
-            if len(ids) <= j:
-                break
-            same = (keys[:-j, :SHALLOW] == keys[j:, :SHALLOW]).all(axis=1) & (tree[:-j] == tree[j:]) & (ids[:-j] != ids[j:])
-            same[: max(0, old - j)] = False  # seen with the batch before
-            at = np.flatnonzero(same)
-            if len(at):
-                a, b = ids[at], ids[at + j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array((tree[at] < FIRST_TREES) & (j == 1))], ["a", "b", "near"])
-        tree, ids, keys = tree[-REACH:], ids[-REACH:], keys[-REACH:]
+def _neighbours(similar: int):
+    """Rows (tree, key, id, sketch) in order -> pairs of near classes."""
+    j0 = similar / 100 - MARGIN
+    most = int((1 - j0) * 0.75 * TREES * DEPTH)  # two bits of different values agree in a quarter of the cases
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, ids = np.empty(0, np.int32), np.empty(0, np.int64)
+        keys, sketch = np.empty((0, DEPTH), ">u4"), np.empty((0, SKETCH), np.uint8)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            old = len(ids)
+            tree = np.concatenate([tree, batch.column("tree").to_numpy()])
+            ids = np.concatenate([ids, batch.column("id").to_numpy()])
+            keys = np.concatenate([keys, np.frombuffer(text_bytes(batch.column("key"))[0].tobytes(), ">u4").reshape(-1, DEPTH)])
+            sketch = np.concatenate([sketch, text_bytes(batch.column("sketch"))[0].reshape(-1, SKETCH)])
+            for j in range(1, REACH + 1):
+                if len(ids) <= j:
+                    break
+                same = (keys[:-j, :SHALLOW] == keys[j:, :SHALLOW]).all(axis=1) & (tree[:-j] == tree[j:]) & (ids[:-j] != ids[j:])
+                same[: max(0, old - j)] = False  # seen with the batch before
+                at = np.flatnonzero(same)
+                at = at[DIFFERING[sketch[at] ^ sketch[at + j]].sum(axis=1, dtype=np.int64) <= most]
+                if len(at):
+                    a, b = ids[at], ids[at + j]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array((tree[at] < FIRST_TREES) & (j == 1))], ["a", "b", "near"])
+            tree, ids, keys, sketch = tree[-REACH:], ids[-REACH:], keys[-REACH:], sketch[-REACH:]
+
+    return run
 
 
 def _full_sets(bits: np.ndarray, k: int):
@@ -160,14 +177,14 @@ def near_duplicates(docs: DataFrame, k: int = 4, similar: int = 80) -> DataFrame
     null and they are kept.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed_docs = materialised(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, hi long, lo long, sig binary"))
+    signed_docs = materialised(docs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, hi long, lo long, sig binary, sketch binary"))
     key = ["n_shingles", "hi", "lo"]
-    classes = signed_docs.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
+    classes = signed_docs.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
     width = DEPTH * 4
-    trees = classes.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
-        "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"), "id")
+    trees = classes.select("id", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
+        "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"), "id", "sketch")
     order: list[Column] = [F.col("tree"), F.col("key"), F.col("id")]
-    pairs = trees.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, "a long, b long, near boolean")
+    pairs = trees.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(similar), "a long, b long, near boolean")
     pairs = materialised(pairs.groupBy("a", "b").agg(F.max("near").alias("near")))
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bits = bitmap(nodes.select("node"), "node")
