@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from touchline.functions import text as X
@@ -67,8 +68,13 @@ def test_repair_report(spark, tmp_dir):
     d = os.path.join(tmp_dir, "rep")
     write(f"{d}/a.csv", "x,tackles_wom\n1,2\n")
     write(f"{d}/b.csv", "x,tackles_won\n1,2\n")
-    rep = {os.path.basename(r["file"]): r["occurrences"] for r in S.header_repair_report(spark, d).collect()}
-    assert rep == {"a.csv": 1, "b.csv": 0}
+    write(f"{d}/c.csv", "x,tackles_won\n1,caf\ufffd\n")  # a replacement character of its own is no error
+    with open(f"{d}/d.csv", "wb") as f:
+        f.write(b"x,tackles_wom\n1,caf\xe9\n")
+    report = S.header_repair_report(spark, d)
+    rep = {os.path.basename(r["file"]): (r["occurrences"], r["not_utf8"]) for r in report.collect()}
+    assert rep == {"a.csv": (1, False), "b.csv": (0, False), "c.csv": (0, False), "d.csv": (None, True)}
+    assert tuple(S.header_repair_totals(report).first()) == (4, 1, 1, 1)
 
 
 def test_partitioned_sink_and_guarded_overwrite(spark, tmp_dir):
@@ -76,8 +82,8 @@ def test_partitioned_sink_and_guarded_overwrite(spark, tmp_dir):
     df = spark.createDataFrame([("73_2020", "m1"), ("73_2021", "m2")], "season_id string, match_id string")
     S.write_partitioned(df, path, ["season_id"], fmt="parquet")
     refresh = spark.createDataFrame([("73_2021", "m3"), ("73_2021", "m4")], "season_id string, match_id string")
-    assert R.overwrite_season(refresh, path)
-    assert not R.overwrite_season(refresh.limit(0), path)            # empty refresh writes nothing
+    R.overwrite_season(refresh, path)
+    R.overwrite_season(refresh.limit(0), path)                       # an empty refresh writes nothing
     got = sorted(tuple(r) for r in S.read_partitioned(spark, path, fmt="parquet").select("season_id", "match_id").collect())
     assert got == [("73_2020", "m1"), ("73_2021", "m3"), ("73_2021", "m4")]
 
@@ -160,3 +166,53 @@ def test_sort_by_season_date_nulls_last(spark):
                                 ("73_2020", "2020-09-09", "d")], "season_id string, date string, u string")
     got = [r["u"] for r in R.sort_by_season_date(df, tiebreak=["u"]).collect()]
     assert got == ["d", "c", "b", "a"]
+
+
+def page(spark, html):
+    return spark.createDataFrame([(1, "https://x/en/matches/m9/A-B", html, "73_2021")], "page_id long, url string, html string, season_id string")
+
+
+def player_table(team, *names):
+    rows = "".join(f"<tr><th data-stat='player'>{n}</th></tr>" for n in names)
+    return f"<table class='stats_table'><caption>{team} Player Stats Table</caption><tbody>{rows}</tbody></table>"
+
+
+def test_all_tables_inside_a_container_and_none_outside(spark):
+    html = (f"{player_table('Z', 'outside')}<div id='all_player_stats_1'><div>{player_table('A', 'a1')}</div>{player_table('B', 'b1', 'b2')}</div>"
+            f"<div id='all_player_stats_2'></div><!-- <div id='all_player_stats_3'>{player_table('C', 'hidden')}</div> -->"
+            f"<div id='all_keeper_stats_1'>{player_table('A', 'keeper')}</div>")
+    rows = {(r["team_name"], r["player"]) for r in E.player_match_rows(page(spark, html)).collect()}
+    assert rows == {("A", "a1"), ("B", "b1"), ("B", "b2")}
+
+
+def test_schedule_container_quotes_references_and_dates(spark):
+    def row(date, home, score):
+        return f"<tr><td data-stat='date'>{date}</td><td data-stat='home_team'>{home}</td><td data-stat='score'>{score}</td></tr>"
+
+    rows = row("Mar 7, 2021", "Jos&eacute;", "2&#8211;1") + row("07-03-2021", "Ren&#233;", "0&ndash;0") + row("20210307", "A&amp;B", "1-1") + row("Mar 7, 2099", "later", "")
+    table = f"<table class='x stats_table y'><tbody>{rows}</tbody></table>"
+    html = f"<div id='switcher_sched'>{table}</div>{table.replace('2021', '2020')}"
+    got = sorted((r["home_team"], r["score"], r["home_score"]) for r in E.schedule_rows(page(spark, html), as_of="2026-01-01").collect())
+    assert got == [("A&B", "1-1", "1"), ("José", "2-1", "2"), ("René", "0-0", "0")]
+
+
+def test_keepers_stay_in_their_match(spark):
+    s = "player_id string, match_id string"
+    of = spark.createDataFrame([(None, None), (None, None), (None, "m1"), ("p", "m1"), ("p", "m2"), ("p", None)], s)
+    k = spark.createDataFrame([(None, None, "9"), (None, "m1", "1"), ("p", "m1", "2"), ("p", None, "8")], s + ", gk_saves string")
+    got = sorted((str(r["player_id"]), str(r["match_id"]), r["gk_saves"]) for r in R.keeper_merge(of, k).collect())
+    assert got == [("None", "None", 0.0), ("None", "None", 0.0), ("None", "m1", 1.0), ("p", "None", 0.0), ("p", "m1", 2.0), ("p", "m2", 0.0)]
+
+
+def test_start_dates(spark):
+    df = spark.createDataFrame([("2021-03-01",), ("Mar 9, 2021",), ("x",)], "date string")
+    for start in ("2021-03-07", "Mar 7, 2021", "20210307", "7 March 2021"):
+        assert [r["date"] for r in R.start_date_filter(df, start).collect()] == ["Mar 9, 2021"]
+    with pytest.warns(UserWarning):
+        assert R.start_date_filter(df, "soon").count() == 3
+
+
+def test_positions(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id")).repartition(7)
+    got = {r["id"]: r["position"] for r in R.positions(df.orderBy("id")).collect()}
+    assert got == {i: i + 1 for i in range(1000)}

@@ -5,10 +5,11 @@ import datetime as dt
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tools.compare import canon
 from touchline import oracle as O
-from touchline.operators.sides import team_sides, team_sides_or_join
+from touchline.operators.sides import distinct_teams, team_sides
 from touchline.plans.dim_match import dim_match
 from touchline.plans.match_level_player import match_level_player_data
 from touchline.plans.matches_by_team import matches_by_team
@@ -83,10 +84,14 @@ def test_dim_match_cases(ms):
 
 
 def test_unpivot_equals_or_join(ms):
+    """The sides are the rows of a nested-loop join of all teams with all matches."""
     dm = dim_match(ms)
-    a = [tuple(r) for r in team_sides(dm).collect()]
-    b = [tuple(r) for r in team_sides_or_join(dm).collect()]
-    assert sorted(map(str, a)) == sorted(map(str, b))
+    t, home, away = F.col("t"), F.col("home_team_name"), F.col("away_team_name")
+    j = distinct_teams(dm).select(F.col("team_name").alias("t")).join(dm, (t == home) | (t == away))
+    want = j.select(t, "match_id", F.when(t == home, "Home").otherwise("Away"), F.when(t == home, away).otherwise(home),
+                    F.when(t == home, F.col("home_team_score")).otherwise(F.col("away_team_score")))
+    got = team_sides(dm).select("team_name", "match_id", "match_location", "opponent_team_name", "goals_scored")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
 
 
 def test_matches_by_team_matches_sql(ms, con):
@@ -107,7 +112,7 @@ def test_running_totals_share_a_date(ms):
 
 def test_playoff_champions_matches_sql(ms, con):
     got = playoff_champions(matches_by_team(dim_match(ms)), as_of="2022-06-01")
-    sql = O.with_ctes(O.DIM_MATCH, O.MATCHES_BY_TEAM, O.PLAYOFF_MART.replace("year(current_date)", "2022"),
+    sql = O.with_ctes(O.DIM_MATCH, O.MATCHES_BY_TEAM, O.playoff_mart("2022-06-01"),
                       select="SELECT * FROM playoff_champions WHERE playoff_result <> 'Missed Playoffs'")
     same(got, con.sql(sql))
     res = {(r["team_name"], r["season_id"]): r["playoff_result"] for r in got.collect()}

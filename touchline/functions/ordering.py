@@ -1,14 +1,12 @@
 """Deterministic ordering helpers.
 
 The marts were specified on an engine that sorts NULLs last in both
-directions and whose ``max_by``/``min_by`` skip rows with a NULL value.
-These helpers pin those semantics on Spark (hazards H1, H3, H4).
+directions. These helpers pin that on Spark (hazards H1, H4).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from touchline.functions.util import col
 
@@ -19,37 +17,3 @@ def asc(c) -> Column:
 
 def desc(c) -> Column:
     return col(c).desc_nulls_last()
-
-
-def order(*keys) -> list[Column]:
-    """``order("a", ("b", "desc"))`` -> nulls-last sort expressions."""
-    out = []
-    for k in keys:
-        if isinstance(k, tuple):
-            name, direction = k
-            out.append(desc(name) if direction == "desc" else asc(name))
-        else:
-            out.append(asc(k))
-    return out
-
-
-def _guard(value, *ordering) -> Column:
-    """Ordering key that is NULL when the value or any ordering part is NULL."""
-    cond = col(value).isNotNull()
-    for o in ordering:
-        cond = cond & col(o).isNotNull()
-    key = col(ordering[0]) if len(ordering) == 1 else F.struct(*[col(o) for o in ordering])
-    return F.when(cond, key)
-
-
-def max_by_nonnull(value, *ordering) -> Column:
-    """Value at the greatest ordering key among rows whose value is not NULL.
-
-    Several ordering columns compare lexicographically (first is the main key,
-    the rest break ties).
-    """
-    return F.max_by(col(value), _guard(value, *ordering))
-
-
-def min_by_nonnull(value, *ordering) -> Column:
-    return F.min_by(col(value), _guard(value, *ordering))

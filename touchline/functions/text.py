@@ -13,7 +13,7 @@ from touchline.functions.util import col, lit_str
 
 # --- fixed values (must equal the captured site's conventions) -------------
 # Dash variants found in captured score cells, all meaning "-":
-#   en dash U+2013, em dash U+2014, and the UTF-8-read-as-Latin-1 form of the en dash.
+#   en dash U+2013, em dash U+2014, and the en dash's UTF-8 bytes read as Mac Roman.
 SCORE_DASHES = ["\u2013", "\u2014", "\u201a\u00c4\u00ec"]
 # URL path markers that precede a match id / player id.
 MATCH_URL_MARKER = "/en/matches/"
@@ -27,6 +27,8 @@ CANCEL_PHRASES = ["match cancelled", "match canceled"]
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 # Shoot-out score shape "(h) a-b (p)", searched anywhere in the text.
 SHOOTOUT_PATTERN = r"\((\d+)\)\s*(\d+)-(\d+)\s*\((\d+)\)"
+# Three non-breaking spaces before a substitute's name, as written and as shown.
+SUB_INDICATORS = ["&nbsp;&nbsp;&nbsp;", "\u00a0\u00a0\u00a0"]
 # Characters made file-safe in storage keys.
 SEASON_KEY_REPLACE = {"/": "_", " ": "_"}
 DATE_KEY_REPLACE = {"/": "-", " ": "_", ":": "-"}
@@ -37,6 +39,11 @@ DATE_KEY_REPLACE = {"/": "-", " ": "_", ":": "-"}
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once instead of at every mention."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c) -> Column:
     """Remove leading/trailing whitespace incl. non-breaking spaces (like ``str.strip``).
 
@@ -70,14 +77,6 @@ def normalize_score(c) -> Column:
     return clean_text(out)
 
 
-def F_quote(s: str) -> str:
-    """Regex-escape a literal."""
-    out = []
-    for ch in s:
-        out.append("\\" + ch if ch in r"\^$.|?*+()[]{}/" else ch)
-    return "".join(out)
-
-
 def after_marker(c, marker: str) -> Column:
     """Text after the first occurrence of ``marker`` ('' when absent)."""
     c = col(c)
@@ -150,14 +149,30 @@ def notes_skip(c) -> Column:
 
 
 # N9
-DATE_FORMATS = ["M/d/yyyy", "d MMMM yyyy", "MMMM d, yyyy"]
+# Layouts tried in turn on the date part of a text, after commas, ordinal
+# endings and a leading weekday are gone. Ambiguous numbers are month first;
+# a first number above 12 is a day.
+DATE_FORMATS = ["yyyyMMdd", "yyyy/M/d", "yyyy.M.d", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
+                "d MMMM yyyy", "d MMM yyyy", "MMMM d yyyy", "MMM d yyyy", "d-MMM-yyyy", "d-MMMM-yyyy", "yyyy-MMM-d",
+                "yyyy MMM d", "yyyy MMMM d", "M/d/yy"]
+WEEKDAY = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*[., ]+"
+ORDINAL = r"(?i)\b([0-9]{1,2})(?:st|nd|rd|th)\b"
+TIME_PART = r"(?i)[T ]+[0-9]{1,2}:[0-9]{2}.*$"
+
+
+def _date_part(s: Column) -> Column:
+    """The date of a text alone, one space between its parts."""
+    out = F.regexp_replace(F.regexp_replace(s, TIME_PART, ""), WEEKDAY, "")
+    out = F.regexp_replace(F.regexp_replace(out, ORDINAL, "$1"), r"\s*[, ]\s*", " ")
+    return F.replace(strip(out), F.lit("Sept "), F.lit("Sep "))
 
 
 def try_parse_date(c) -> Column:
-    """Tolerant date parse: ISO first, then a few common text layouts; else NULL."""
+    """Tolerant date parse: ISO first, then the common layouts; else NULL."""
     s = strip(c)
-    tries = [s.try_cast("date")] + [F.try_to_date(s, f) for f in DATE_FORMATS]
-    return F.coalesce(*tries)
+    iso = s.try_cast("date")
+    others = let(_date_part(s), lambda part: F.coalesce(*[F.try_to_date(part, f) for f in DATE_FORMATS]))
+    return F.when(s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), iso).otherwise(others)
 
 
 # N10
@@ -270,8 +285,6 @@ def spreadsheet_safe(c) -> Column:
 
 
 # X12
-SUB_INDICATORS = ["&nbsp;&nbsp;&nbsp;", "\u00a0\u00a0\u00a0"]
-
 
 def lineup_status(cell_html) -> Column:
     """``Sub`` when the player cell carries three non-breaking spaces, else ``Starter``."""

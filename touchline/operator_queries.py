@@ -8,10 +8,12 @@ grows with the data. Imported by ``touchline.registry``.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline import oracle as O
 from touchline.functions import text as X
 from touchline.operators import ingest as R
+from touchline.operators.keys import spread_null
 from touchline.operators.player_season import SEASON_RANKS, SEASON_TOTALS, age_summary, minutes_by_position
 from touchline.operators.player_season import position_summary, totals_and_ranks
 from touchline.operators.running import RUNNING_COLUMNS
@@ -21,6 +23,7 @@ from touchline.operators.standings import STANDINGS
 from touchline.plans.match_level_player import attach_match_context
 from touchline.plans.matches_by_team import team_match_rows
 from touchline.registry import league_dim_match, league_matches_by_team, register
+from touchline.schemas import PLAYER_MATCH_STATS
 from touchline.sources import csv_tables as S
 from touchline.sources import shim
 
@@ -125,21 +128,22 @@ def q_notes_skip(spark, sf_dir):
                       X.notes_skip("notes").alias("skip_player_capture"))
 
 
-_DATE_TXT = ("CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') "
-             "WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') ELSE 'TBD ' || CAST(o_orderkey AS VARCHAR) END")
-
-
-@register("date_parse", f"""
-SELECT o_orderkey, {_DATE_TXT} AS date_text,
-  coalesce(TRY_CAST({_DATE_TXT} AS DATE), CAST(try_strptime({_DATE_TXT}, '%m/%d/%Y') AS DATE)) AS match_date
+@register("date_parse", """
+SELECT o_orderkey,
+  CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
+    WHEN 2 THEN 'TBD ' || CAST(o_orderkey AS VARCHAR) WHEN 3 THEN strftime(o_orderdate, '%b %-d, %Y')
+    WHEN 4 THEN strftime(o_orderdate, '%Y%m%d') ELSE strftime(o_orderdate, '%A, %-d %B %Y') END AS date_text,
+  CASE WHEN o_orderkey % 6 <> 2 THEN CAST(o_orderdate AS DATE) END AS match_date
 FROM orders""")
 def q_date_parse(spark, sf_dir):
     """Tolerant date parse (unparsable -> NULL)."""
-    o = shim.read_table(spark, sf_dir, "orders", spread=True)
-    k = F.col("o_orderkey") % 3
-    txt = (F.when(k == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
-           .when(k == 1, F.date_format("o_orderdate", "MM/dd/yyyy"))
-           .otherwise(F.concat(F.lit("TBD "), F.col("o_orderkey").cast("string"))))
+    layouts = ["yyyy-MM-dd", "MM/dd/yyyy", None, "MMM d, yyyy", "yyyyMMdd", "EEEE, d MMMM yyyy"]
+    k = F.col("o_orderkey") % len(layouts)
+    txt = F.concat(F.lit("TBD "), F.col("o_orderkey").cast("string"))
+    for i, layout in enumerate(layouts):
+        if layout:
+            txt = F.when(k == i, F.date_format("o_orderdate", layout)).otherwise(txt)
+    o = shim.read_table(spark, sf_dir, "orders")
     return o.select("o_orderkey", txt.alias("date_text")).withColumn("match_date", X.try_parse_date("date_text"))
 
 
@@ -166,7 +170,7 @@ def q_age_numeric(spark, sf_dir):
                      X.age_numeric("age").alias("age_numeric"))
 
 
-@register("surrogate_key", sql(O.team_ctes(), "SELECT team_name, team_id FROM mbt_distinct_teams"))
+@register("surrogate_key", sql(O.team_ctes(), "SELECT DISTINCT team_name, team_id FROM mbt_matches"))
 def q_surrogate_key(spark, sf_dir):
     """Distinct team names and their md5 surrogate key."""
     return distinct_teams(league_dim_match(spark, sf_dir))
@@ -397,7 +401,7 @@ def q_missing_dates(spark, sf_dir):
     """Dates with matches but no stored player file (anti join on (season, date)).
 
     Stored files are named after the lineitem ship dates."""
-    li = shim.read_table(spark, sf_dir, "lineitem", spread=True)
+    li = shim.read_table(spark, sf_dir, "lineitem")
     season = F.concat(F.lit("73_"), F.year("l_shipdate").cast("string"))
     files = li.select(season.alias("season_id"), F.concat(
         F.lit("/raw/player_match_stats/player_match_data_"), season, F.lit("_"),
@@ -425,10 +429,10 @@ FROM (SELECT DISTINCT '73_' || CAST(year(l_shipdate) AS VARCHAR) AS season_id FR
 LEFT JOIN season_files f ON f.season_id = r.season_id"""))
 def q_schedule_lookup(spark, sf_dir):
     """Schedule row per requested season from the season files, else synthesised."""
-    o = shim.read_table(spark, sf_dir, "orders", spread=True)
+    o = shim.read_table(spark, sf_dir, "orders")
     files = S.season_dims(o.select(F.year("o_orderdate").cast("string").alias("season_year_id")).distinct(),
                           LEAGUES, base_url=shim.BASE_URL)
-    li = shim.read_table(spark, sf_dir, "lineitem", spread=True)
+    li = shim.read_table(spark, sf_dir, "lineitem")
     req = li.select(F.concat(F.lit("73_"), F.year("l_shipdate").cast("string")).alias("season_id"))
     return R.schedule_lookup(req, files, base_url=shim.BASE_URL)
 
@@ -448,7 +452,7 @@ SELECT '73_' || y AS season_id, '73' AS league_id, {q(LEAGUES['73'])} AS league_
 FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)""")
 def q_season_dims(spark, sf_dir):
     """Season years (from the data) x configured leagues."""
-    o = shim.read_table(spark, sf_dir, "orders", spread=True)
+    o = shim.read_table(spark, sf_dir, "orders")
     return S.season_dims(o.select(F.year("o_orderdate").cast("string").alias("season_year_id")).distinct(),
                          LEAGUES, base_url=shim.BASE_URL)
 
@@ -477,19 +481,106 @@ def q_csv_raw_roundtrip(spark, sf_dir):
     written them: ``tackles_wom`` for ``tackles_won`` and no ``lineup_status``
     column. The files go to the shared checkpoint folder.
     """
-    import os
-    import uuid
-
-    from touchline.session import checkpoint_dir
-
-    path = os.path.join(checkpoint_dir(spark), "csv_raw", uuid.uuid4().hex)
+    path = _new_folder(spark, "csv_raw")
     pms = shim.player_match_stats(spark, sf_dir)
-    ms = shim.match_stats(spark, sf_dir).select("match_id", "season_id", "date")
-    keyed = pms.join(ms, "match_id", "left")
+    ms = shim.match_stats(spark, sf_dir).select(F.col("match_id").alias("_m"), "season_id")
+    keyed = pms.withColumn("_match", spread_null(pms, "match_id")).join(ms, F.col("_match") == F.col("_m"), "left").drop("_match", "_m")
     old_season = F.col("season_id") == "73_1995"
     old = keyed.filter(old_season).drop("lineup_status").withColumnRenamed("tackles_won", "tackles_wom")
     new = keyed.filter(~old_season | F.col("season_id").isNull())
-    # Per-season files (S9); the per-day layout (S10) is exercised by the rebuild test.
-    S.write_partitioned(new.drop("date"), path, ["season_id"])
-    S.write_partitioned(old.drop("date"), path, ["season_id"])   # dynamic overwrite: adds the old season only
+    S.write_partitioned(new, path, ["season_id"])
+    S.write_partitioned(old, path, ["season_id"])   # dynamic overwrite: adds the old season only
     return S.load_player_match_stats(spark, path)
+
+
+# ============================================================ file layers, written and read back
+def _new_folder(spark, name: str) -> str:
+    from touchline.session import scratch_table_path
+
+    return scratch_table_path(spark, name)
+
+
+@register("season_file_load", f"""
+SELECT '73_' || y AS season_id, '73' AS league_id, {q(LEAGUES['73'])} AS league_name, y || ' Season' AS season_name,
+  {q(shim.BASE_URL + '/en/comps/73/')} || y || '/schedule/' AS url
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)""")
+def q_season_file_load(spark, sf_dir):
+    """S3: season files, one a season, read as the 5 columns a schedule reader needs."""
+    path = _new_folder(spark, "season_files")
+    dims = q_season_dims(spark, sf_dir).withColumn("season", F.col("season_id"))
+    S.write_partitioned(dims, path, ["season"])
+    return S.load_season_dims(spark, path)
+
+
+@register("match_csv_roundtrip", sql(SCHED, "SELECT * REPLACE (CAST(date AS DATE) AS date) FROM match_stats"))
+def q_match_csv_roundtrip(spark, sf_dir):
+    """Match rows from per-season CSV files, typed."""
+    path = _new_folder(spark, "match_csv")
+    S.write_partitioned(shim.match_stats(spark, sf_dir), path, ["season_id"])
+    return S.load_match_stats(spark, path)
+
+
+@register("base_views", sql(SCHED, """
+SELECT season_id, count(*) AS matches, count(score) AS scored FROM match_stats GROUP BY season_id"""))
+def q_base_views(spark, sf_dir):
+    """Pass-through views, queried by name."""
+    S.register_base_views({"match_stats": shim.match_stats(spark, sf_dir), "player_match_stats": shim.player_match_stats(spark, sf_dir),
+                           "season_dims": q_season_dims(spark, sf_dir)})
+    return spark.sql("""SELECT m.season_id, count(*) AS matches, count(m.score) AS scored
+                        FROM base_raw_match_stats m JOIN base_raw_season_dims s ON m.season_id = s.season_id GROUP BY m.season_id""")
+
+
+@register("player_day_files", sql(PLAYERS, """
+SELECT p.*, m.season_id AS stored_season, m.date AS stored_date
+FROM player_match_stats p JOIN match_stats m ON p.match_id = m.match_id"""))
+def q_player_day_files(spark, sf_dir):
+    """Player rows as one directory per (season, date), read back with their partition."""
+    path = _new_folder(spark, "player_days")
+    ms = shim.match_stats(spark, sf_dir).select("match_id", F.col("season_id").alias("stored_season"), F.col("date").alias("stored_date"))
+    S.write_partitioned(shim.player_match_stats(spark, sf_dir).join(ms, "match_id"), path, ["stored_season", "stored_date"])
+    fields = [*PLAYER_MATCH_STATS.fields, T.StructField("stored_season", T.StringType()), T.StructField("stored_date", T.StringType())]
+    return S.typed(S.read_csv_by_name(spark, path, [f.name for f in fields]), T.StructType(fields))
+
+
+@register("mart_export", O.with_ctes(O.SHIM_SCHEDULE, O.DIM_MATCH, select="SELECT COLUMNS(*)::VARCHAR FROM dim_match"))
+def q_mart_export(spark, sf_dir):
+    """A mart exported as CSV with header, read back as text."""
+    path = _new_folder(spark, "mart_csv")
+    S.export_mart(league_dim_match(spark, sf_dir), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@register("header_repair", sql(SCHED, """
+SELECT season_id, season_id = '73_1995' AS needs_repair, false AS not_utf8 FROM match_stats GROUP BY season_id"""))
+def q_header_repair(spark, sf_dir):
+    """Seasons whose files carry an old column name."""
+    path = _new_folder(spark, "match_repair")
+    ms = shim.match_stats(spark, sf_dir)
+    S.write_partitioned(ms.filter("season_id <> '73_1995'"), path, ["season_id"])
+    S.write_partitioned(ms.filter("season_id = '73_1995'").withColumnRenamed("notes", "match_notez"), path, ["season_id"])
+    report = S.header_repair_report(spark, path, "match_notez").withColumn("season_id", F.regexp_extract("file", "season_id=([^/]*)", 1))
+    return report.groupBy("season_id").agg((F.max("occurrences") > 0).alias("needs_repair"), F.max("not_utf8").alias("not_utf8"))
+
+
+@register("season_date_order", sql(SCHED, """
+SELECT order_key AS match_key, season_id, date,
+  row_number() OVER (ORDER BY season_id ASC NULLS LAST, TRY_CAST(date AS DATE) ASC NULLS LAST, order_key) AS position
+FROM match_stats_k"""))
+def q_season_date_order(spark, sf_dir):
+    """Matches in (season, date) order with their position."""
+    ms = shim.match_stats(spark, sf_dir, keep_key=True).select(F.col("order_key").alias("match_key"), "season_id", "date")
+    return R.positions(R.sort_by_season_date(ms, tiebreak=["match_key"]))
+
+
+@register("season_overwrite", sql(SCHED, f"""
+SELECT * EXCLUDE (order_key) FROM match_stats_k WHERE season_id NOT IN ({_LATEST}) OR order_key % 2 = 0"""))
+def q_season_overwrite(spark, sf_dir):
+    """The latest season replaced, an empty refresh that replaces nothing, the whole table read."""
+    path = _new_folder(spark, "season_table")
+    ms = shim.match_stats(spark, sf_dir, keep_key=True)
+    R.overwrite_season(ms.drop("order_key"), path)
+    stored = S.read_partitioned(spark, path, fmt="parquet")
+    fresh = R.season_filter_by(ms.filter("order_key % 2 = 0").drop("order_key"), R.latest_season(stored))
+    R.overwrite_season(fresh, path)
+    R.overwrite_season(fresh.limit(0), path)
+    return S.read_partitioned(spark, path, fmt="parquet")

@@ -8,32 +8,38 @@ refresh replaces exactly one ``season_id`` partition.
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from touchline.functions import text as X
 from touchline.functions.ordering import asc
+from touchline.operators.keys import spread_null
 from touchline.schemas import GK_COLUMNS, SCHEDULE_REQUIRED
+from touchline.session import cut_lineage
 
 
 # R1
-def keeper_merge(outfield: DataFrame, keeper: DataFrame, keys=("player_id", "match_id")) -> DataFrame:
-    """Left-join keeper stats onto outfield rows; non-keepers get 0.
-
-    Keys compare NULL-safe (a player without link still finds their keeper
-    row), keeper cells are coerced to double with non-numeric -> 0 (N10). When
-    the keeper frame carries none of the keeper columns every row gets 0.
+def keeper_merge(outfield: DataFrame, keeper: DataFrame) -> DataFrame:
+    """Left-join keeper stats onto the outfield rows of the same match; others get 0.
+
+    The merge stays within a match: ``match_id`` compares with plain equality,
+    so rows without a match get 0 and never pair across matches. ``player_id``
+    compares NULL-safe (a player without link still finds their keeper row).
+    Keeper cells are coerced to double, non-numeric -> 0 (N10). When the keeper
+    frame carries none of the keeper columns every row gets 0.
     """
     gk = [c for c in GK_COLUMNS if c in keeper.columns]
     if not gk:
         return outfield.select("*", *[F.lit(0.0).alias(c) for c in GK_COLUMNS])
-    k = keeper.select(*[F.col(c).alias(f"_k_{c}") for c in keys], *gk)
-    cond = [outfield[c].eqNullSafe(k[f"_k_{c}"]) for c in keys]
-    joined = outfield.join(k, cond, "left")
+    k = keeper.select(F.col("match_id").alias("_k_match"), F.col("player_id").alias("_k_player"), *gk)
+    keyed = outfield.withColumn("_match", spread_null(outfield, "match_id"))
+    joined = keyed.join(k, (keyed["_match"] == k["_k_match"]) & keyed["player_id"].eqNullSafe(k["_k_player"]), "left")
     gk_out = [(X.numeric_or_zero(c) if c in gk else F.lit(0.0)).alias(c) for c in GK_COLUMNS]
-    return joined.select(*[outfield[c] for c in outfield.columns], *gk_out)
+    return joined.select(*[keyed[c] for c in outfield.columns], *gk_out)
 
 
 # R2
@@ -52,29 +58,24 @@ def season_filter_by(df: DataFrame, seasons: DataFrame, col: str = "season_id")
 
 
 def _parse_param_date(value) -> _dt.date | None:
-    if value is None:
-        return None
-    if isinstance(value, _dt.datetime):
-        return value.date()
-    if isinstance(value, _dt.date):
-        return value
-    s = str(value).strip()
-    for fmt in ("%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%Y-%m-%d %H:%M:%S"):
-        try:
-            return _dt.datetime.strptime(s, fmt).date()
-        except ValueError:
-            continue
-    return None
+    """A date parameter in any layout that pandas reads; None if it reads none."""
+    found = pd.to_datetime(value, errors="coerce")
+    return None if pd.isna(found) else found.date()
 
 
 # R3
 def start_date_filter(df: DataFrame, start, col: str = "date") -> DataFrame:
-    """Keep rows whose parsed date is on/after ``start``; an invalid ``start`` is ignored."""
+    """Keep rows whose parsed date is on/after ``start``; ``None`` keeps all.
+
+    A ``start`` that is no date keeps all rows as well, with a warning.
+    """
+    if start is None:
+        return df
     d = _parse_param_date(start)
     if d is None:
+        warnings.warn(f"start date {start!r} is no date; no rows are left out", stacklevel=2)
         return df
-    parsed = X.try_parse_date(col)
-    return df.filter(parsed.isNotNull() & (parsed >= F.lit(d)))
+    return df.filter(X.try_parse_date(col) >= F.lit(d))
 
 
 # R4
@@ -83,6 +84,18 @@ def sort_by_season_date(df: DataFrame, col: str = "date", tiebreak=()) -> DataFr
     return df.orderBy(asc("season_id"), asc(X.try_parse_date(col)), *[asc(c) for c in tiebreak])
 
 
+def positions(ordered: DataFrame, out: str = "position") -> DataFrame:
+    """Number the rows of a globally sorted frame from 1, by an offset for each
+    sorted partition. Materialised once, so that numbers and offsets agree."""
+    # The id holds the partition above bit 33 and the row's place in it below.
+    rows = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.withColumn("_part", part).join(sizes, "_part").select(*ordered.columns, (F.col("_before") + place + 1).alias(out))
+
+
 # R5
 def work_list(matches: DataFrame, url_col: str = "match_url", date_col: str = "date") -> DataFrame:
     """Capture work list, kept flat: one row per (season, date, url).
@@ -195,18 +208,14 @@ def latest_date(matches: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 # R10
-def overwrite_season(df: DataFrame, path: str, fmt: str = "parquet", partition_cols=("season_id",)) -> bool:
+def overwrite_season(df: DataFrame, path: str, fmt: str = "parquet", partition_cols=("season_id",)) -> None:
     """Replace exactly the season partitions present in ``df``.
 
-    Dynamic partition overwrite never touches other seasons; an empty refresh
-    writes nothing, which is the "do not overwrite with empty" guard.
-    Returns whether anything was written.
+    Dynamic partition overwrite never touches other seasons, and an empty frame
+    has no partition to replace, so an empty refresh writes nothing.
     """
-    if df.isEmpty():
-        return False
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(path))
-    return True
 
 
 # R11 is a plain read of the partitioned table (see touchline.sources.csv_tables).

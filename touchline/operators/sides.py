@@ -10,13 +10,14 @@ name, so the distinct team list never has to be materialised.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.text import surrogate_key
 
-HOME_WINS = ["Home Win", "Home Win on Penalties"]
-AWAY_WINS = ["Away Win", "Away Win on Penalties"]
+# Which side a result favours; "" favours neither, other results are unknown.
+WINNER = {"Home Win": "Home", "Home Win on Penalties": "Home", "Away Win": "Away", "Away Win on Penalties": "Away", "Draw": ""}
+POINTS = {"Win": 3, "Draw": 1}
 REGULAR_SEASON = "Regular Season"
 
 SIDE_COLUMNS = [
@@ -25,50 +26,39 @@ SIDE_COLUMNS = [
 ]
 
 
-def _side_projection(df: DataFrame, team="team_name") -> DataFrame:
-    t = F.col(team)
-    is_home = F.coalesce(t == F.col("home_team_name"), F.lit(False))
-    is_away = F.coalesce(t == F.col("away_team_name"), F.lit(False))
-    res = F.col("match_result")
-    outcome = (
-        F.when(is_home & res.isin(*HOME_WINS), "Win")
-        .when(is_away & res.isin(*AWAY_WINS), "Win")
-        .when(is_home & (res == "Draw"), "Draw")
-        .when(is_away & (res == "Draw"), "Draw")
-        .when(is_home & res.isin(*AWAY_WINS), "Loss")
-        .when(is_away & res.isin(*HOME_WINS), "Loss")
-        .otherwise("Unknown")
-    )
-    regular = F.col("game_type") == REGULAR_SEASON
-    points = (F.when(regular & (outcome == "Win"), F.lit(3))
-              .when(regular & (outcome == "Draw"), F.lit(1)).otherwise(F.lit(0)))
-    return df.select(
-        surrogate_key(t).alias("team_id"),
-        t.alias("team_name"),
-        "match_id",
-        "match_date",
-        "match_time",
-        "season_id",
-        F.split_part(F.col("season_id"), F.lit("_"), F.lit(2)).alias("season"),
-        "game_type",
-        F.when(t == F.col("home_team_name"), "Home").otherwise("Away").alias("match_location"),
-        F.when(t == F.col("home_team_name"), F.col("away_team_name")).otherwise(F.col("home_team_name"))
-        .alias("opponent_team_name"),
-        outcome.alias("match_outcome"),
-        F.when(is_home, F.col("home_team_score")).when(is_away, F.col("away_team_score")).otherwise(F.lit(0))
-        .alias("goals_scored"),
-        F.when(is_home, F.col("away_team_score")).when(is_away, F.col("home_team_score")).otherwise(F.lit(0))
-        .alias("goals_conceded"),
-        points.alias("match_points"),
-    )
+def _lookup(table: dict, key: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+
+
+def sides_of(home: Column, away: Column, home_goals: Column, away_goals: Column) -> Column:
+    """The two sides of a match as structs; a team that plays itself has one."""
+    def side(location, team, opponent, scored, conceded):
+        return F.struct(F.lit(location).alias("location"), team.alias("team"), opponent.alias("opponent"),
+                        scored.alias("scored"), conceded.alias("conceded"))
+
+    both = F.array(side("Home", home, away, home_goals, away_goals), side("Away", away, home, away_goals, home_goals))
+    return F.filter(both, lambda s: s["team"].isNotNull() & ((s["location"] == "Home") | ~s["team"].eqNullSafe(home)))
 
 
 def team_sides(dim_match: DataFrame) -> DataFrame:
     """One row per (match, distinct non-NULL side): the inner unpivot."""
-    exploded = dim_match.withColumn(
-        "team_name", F.explode(F.array_distinct(F.array("home_team_name", "away_team_name")))
-    ).filter(F.col("team_name").isNotNull())
-    return _side_projection(exploded)
+    sides = sides_of(*[F.col(c) for c in ("home_team_name", "away_team_name", "home_team_score", "away_team_score")])
+    rows = dim_match.withColumn("side", F.explode(sides)).withColumn("winner", _lookup(WINNER, F.col("match_result")))
+    outcome = (F.when(F.col("winner") == F.col("side.location"), "Win").when(F.col("winner") == "", "Draw")
+               .when(F.col("winner").isNotNull(), "Loss").otherwise("Unknown"))
+    rows = rows.withColumn("match_outcome", outcome)
+    points = F.when(F.col("game_type") == REGULAR_SEASON, _lookup(POINTS, F.col("match_outcome")))
+    made = {
+        "team_id": surrogate_key("side.team"),
+        "team_name": F.col("side.team"),
+        "season": F.split_part(F.col("season_id"), F.lit("_"), F.lit(2)),
+        "match_location": F.col("side.location"),
+        "opponent_team_name": F.col("side.opponent"),
+        "goals_scored": F.col("side.scored"),
+        "goals_conceded": F.col("side.conceded"),
+        "match_points": F.coalesce(points, F.lit(0)),
+    }
+    return rows.select(*[made.get(c, F.col(c)).alias(c) for c in SIDE_COLUMNS])
 
 
 def distinct_teams(dim_match: DataFrame) -> DataFrame:
@@ -76,13 +66,3 @@ def distinct_teams(dim_match: DataFrame) -> DataFrame:
     names = dim_match.select(F.col("home_team_name").alias("team_name")).distinct().unionAll(
         dim_match.select(F.col("away_team_name").alias("team_name")).distinct())
     return names.distinct().select("team_name", surrogate_key("team_name").alias("team_id"))
-
-
-def team_sides_or_join(dim_match: DataFrame) -> DataFrame:
-    """Literal form: distinct teams joined with ``team = home OR team = away``.
-
-    Kept for equivalence tests only; it plans as a nested-loop join.
-    """
-    teams = distinct_teams(dim_match).select(F.col("team_name").alias("_team"))
-    j = teams.join(dim_match, (F.col("_team") == F.col("home_team_name")) | (F.col("_team") == F.col("away_team_name")))
-    return _side_projection(j.filter(F.col("game_type").isNotNull()), team="_team")

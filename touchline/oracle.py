@@ -1,12 +1,11 @@
 """Independent SQL (DuckDB dialect) for every registered query.
 
 The driver runs these next to the Spark queries on the same parquet tables.
-They are written in the *literal* form of the specification - OR join to
-teams, windows over detail rows, fan-out + ``count(distinct)`` - with the same
-explicit tie-breaks and NULLS LAST ordering as the Spark code, so they check
-the Spark rewrites (unpivot, date-grain windows, pre-aggregation) as well as
-the values. Sums are cast to BIGINT and row numbers to INTEGER to line up with
-Spark's result types.
+They take their own road to each result - lookup tables for outcomes and
+kick-off bands, sides as a union, streaks as differences of daily totals,
+figures per grain joined back - with the same explicit tie-breaks and NULLS
+LAST ordering as the Spark code. Sums are cast to BIGINT and row numbers to
+INTEGER to line up with Spark's result types.
 """
 
 from __future__ import annotations
@@ -159,136 +158,119 @@ player_match_stats AS (
     coalesce(TRY_CAST(k.gk_saves AS DOUBLE), 0.0::DOUBLE) AS gk_saves,
     coalesce(TRY_CAST(k.gk_save_pct AS DOUBLE), 0.0::DOUBLE) AS gk_save_pct
   FROM outfield o LEFT JOIN keeper k
-    ON o.player_id IS NOT DISTINCT FROM k.k_player_id AND o.match_id IS NOT DISTINCT FROM k.k_match_id
+    ON o.match_id = k.k_match_id AND o.player_id IS NOT DISTINCT FROM k.k_player_id
 )"""
 
 # --------------------------------------------------------------------------
-# Marts, literal form
+# Marts
 # --------------------------------------------------------------------------
 SO = SHOOTOUT_PATTERN
-SO_PLAIN = r"\(\d+\)\s*\d+-\d+\s*\(\d+\)"
 
 DIM_MATCH = f"""
-dm_clean AS (SELECT *, trim(score, ' ''') AS score_clean FROM match_stats),
-dm_parsed AS (
-  SELECT *,
-    CASE WHEN regexp_matches(score_clean, {q(SO_PLAIN)}) THEN CAST(regexp_extract(score_clean, {q(SO)}, 1) AS INTEGER) END AS hp,
-    CASE WHEN regexp_matches(score_clean, {q(SO_PLAIN)}) THEN CAST(regexp_extract(score_clean, {q(SO)}, 2) AS INTEGER)
-         ELSE CAST(trim(split_part(score_clean, '-', 1)) AS INTEGER) END AS hsc,
-    CASE WHEN regexp_matches(score_clean, {q(SO_PLAIN)}) THEN CAST(regexp_extract(score_clean, {q(SO)}, 3) AS INTEGER)
-         ELSE CAST(trim(split_part(score_clean, '-', 2)) AS INTEGER) END AS asc_,
-    CASE WHEN regexp_matches(score_clean, {q(SO_PLAIN)}) THEN CAST(regexp_extract(score_clean, {q(SO)}, 4) AS INTEGER) END AS ap
-  FROM dm_clean
+kickoff_bands(from_hour, to_hour, label) AS (VALUES
+  (0, 12, 'Morning Kickoff'), (13, 16, 'Afternoon Kickoff'), (17, 19, 'Evening Kickoff'), (20, 22, 'Night Kickoff')),
+result_names(goals, penalties, label) AS (VALUES
+  (1, NULL, 'Home Win'), (-1, NULL, 'Away Win'), (0, NULL, 'Draw'), (0, 1, 'Home Win on Penalties'), (0, -1, 'Away Win on Penalties')),
+score_texts AS (
+  SELECT *, trim(score, ' ''') AS txt, regexp_extract(trim(score, ' '''), {q(SO)}, ['hp', 'h', 'a', 'ap']) AS so FROM match_stats
+),
+score_numbers AS (
+  SELECT * EXCLUDE (so),
+    CAST(nullif(so.hp, '') AS INTEGER) AS hp, CAST(nullif(so.ap, '') AS INTEGER) AS ap,
+    CAST(coalesce(nullif(so.h, ''), trim(split_part(txt, '-', 1))) AS INTEGER) AS h,
+    CAST(coalesce(nullif(so.a, ''), trim(split_part(txt, '-', 2))) AS INTEGER) AS a,
+    CAST(start_time AS TIME) AS kick_off
+  FROM score_texts
 ),
 dim_match AS (
-  SELECT
-    CAST(match_id AS VARCHAR) AS match_id,
-    CAST(season_id AS VARCHAR) AS season_id,
-    coalesce(round, 'Regular Season') AS game_type,
-    CAST(date AS DATE) AS match_date,
-    CAST(CAST(start_time AS TIME) AS VARCHAR) AS match_time,
-    CASE WHEN hour(CAST(start_time AS TIME)) <= 12 THEN 'Morning Kickoff'
-         WHEN hour(CAST(start_time AS TIME)) <= 16 THEN 'Afternoon Kickoff'
-         WHEN hour(CAST(start_time AS TIME)) <= 19 THEN 'Evening Kickoff'
-         WHEN hour(CAST(start_time AS TIME)) <= 22 THEN 'Night Kickoff'
-         ELSE 'Late Night Kickoff' END AS match_time_of_day,
-    home_team AS home_team_name,
-    away_team AS away_team_name,
-    hsc AS home_team_score,
-    asc_ AS away_team_score,
-    hp AS home_penalty_shootout_goals,
-    ap AS away_penalty_shootout_goals,
-    CASE WHEN hsc > asc_ THEN 'Home Win'
-         WHEN hsc < asc_ THEN 'Away Win'
-         WHEN hsc = asc_ AND hp IS NULL AND ap IS NULL THEN 'Draw'
-         WHEN hsc = asc_ AND hp > ap THEN 'Home Win on Penalties'
-         WHEN hsc = asc_ AND hp < ap THEN 'Away Win on Penalties'
-         WHEN hsc IS NULL AND asc_ IS NULL AND (notes ILIKE '%match cancelled%' OR notes ILIKE '%match canceled%') THEN 'Cancelled'
-         ELSE 'Unknown' END AS match_result,
-    attendance,
-    referee AS match_referee_name,
-    venue AS match_venue,
-    match_report AS match_report_url,
-    notes AS match_notes
-  FROM dm_parsed
+  SELECT s.match_id, s.season_id, coalesce(s.round, 'Regular Season') AS game_type, CAST(s.date AS DATE) AS match_date,
+    CAST(s.kick_off AS VARCHAR) AS match_time, coalesce(k.label, 'Late Night Kickoff') AS match_time_of_day,
+    s.home_team AS home_team_name, s.away_team AS away_team_name, s.h AS home_team_score, s.a AS away_team_score,
+    s.hp AS home_penalty_shootout_goals, s.ap AS away_penalty_shootout_goals,
+    coalesce(r.label, CASE WHEN s.h IS NULL AND s.a IS NULL AND regexp_matches(s.notes, '(?i)match cancell?ed') THEN 'Cancelled' ELSE 'Unknown' END) AS match_result,
+    s.attendance, s.referee AS match_referee_name, s.venue AS match_venue, s.match_report AS match_report_url, s.notes AS match_notes
+  FROM score_numbers s
+  LEFT JOIN kickoff_bands k ON hour(s.kick_off) BETWEEN k.from_hour AND k.to_hour
+  LEFT JOIN result_names r ON r.goals = sign(s.h - s.a)
+    AND r.penalties IS NOT DISTINCT FROM (CASE WHEN s.h <> s.a OR (s.hp IS NULL AND s.ap IS NULL) THEN NULL ELSE coalesce(sign(s.hp - s.ap), 0) END)
 )"""
 
-_W_TS = "PARTITION BY team_id, season_id ORDER BY match_date ASC NULLS LAST"
-_WEEK_ORDER = ("match_date ASC NULLS LAST, match_id ASC NULLS LAST, match_time ASC NULLS LAST, "
-               "game_type ASC NULLS LAST, match_location ASC NULLS LAST, opponent_team_name ASC NULLS LAST, "
-               "match_outcome ASC NULLS LAST, goals_scored ASC NULLS LAST, goals_conceded ASC NULLS LAST")
-
-
-def _rank(order: str) -> str:
-    return f"CAST(row_number() OVER (PARTITION BY season_id, match_week_number ORDER BY {order}, team_id ASC) AS INTEGER)"
+_WEEK_ORDER = ["match_date", "match_id", "match_time", "game_type", "match_location", "opponent_team_name", "match_outcome", "goals_scored", "goals_conceded"]
+# Week-by-week standings: name -> (columns, direction).
+_STANDINGS = {
+    "": ("season_points season_goal_difference", "DESC"),
+    "_home": ("season_points_home", "DESC"),
+    "_away": ("season_points_away", "DESC"),
+    "_goals_scored_best_offense": ("season_goals_scored", "DESC"),
+    "_goals_scored_worst_offense": ("season_goals_scored", "ASC"),
+    "_goals_conceded_worst_defence": ("season_goals_conceded", "DESC"),
+    "_goals_conceded_best_defence": ("season_goals_conceded", "ASC"),
+}
+_standings_sql = ",\n    ".join(
+    "CAST(row_number() OVER (PARTITION BY season_id, match_week_number ORDER BY "
+    + ", ".join(f"{c} {way} NULLS LAST" for c in cols.split()) + f", team_id ASC) AS INTEGER) AS current_match_week_position{name}"
+    for name, (cols, way) in _STANDINGS.items())
+# Day totals: name -> summed expression.
+_DAY_SUMS = {
+    "season_points": "match_points",
+    "season_points_home": "if(match_location = 'Home', match_points, 0)",
+    "season_points_away": "if(match_location = 'Away', match_points, 0)",
+    "season_goals_scored": "goals_scored",
+    "season_goals_conceded": "goals_conceded",
+    "wins": "(match_outcome = 'Win')::INTEGER",
+    "others": "(match_outcome <> 'Win')::INTEGER",
+}
+
+
+def nulls_last(cols, table: str = "") -> str:
+    return ", ".join(f"{table}{c} ASC NULLS LAST" for c in cols)
 
 
 MATCHES_BY_TEAM = f"""
-mbt_teams AS (
-  SELECT DISTINCT home_team_name AS team_name FROM dim_match
+favoured(match_result, side) AS (VALUES
+  ('Home Win', 'Home'), ('Home Win on Penalties', 'Home'), ('Away Win', 'Away'), ('Away Win on Penalties', 'Away'), ('Draw', 'Neither')),
+sides AS (
+  SELECT 'Home' AS match_location, home_team_name AS team_name, away_team_name AS opponent_team_name,
+    home_team_score AS goals_scored, away_team_score AS goals_conceded,
+    match_id, match_date, match_time, season_id, game_type, match_result FROM dim_match
   UNION ALL
-  SELECT DISTINCT away_team_name AS team_name FROM dim_match
-),
-mbt_distinct_teams AS (SELECT DISTINCT team_name, {surrogate('team_name')} AS team_id FROM mbt_teams),
-mbt_joined AS (
-  SELECT t.team_id, t.team_name, d.*,
-    CASE WHEN t.team_name = d.home_team_name AND d.match_result IN ('Home Win', 'Home Win on Penalties') THEN 'Win'
-         WHEN t.team_name = d.away_team_name AND d.match_result IN ('Away Win', 'Away Win on Penalties') THEN 'Win'
-         WHEN t.team_name = d.home_team_name AND d.match_result = 'Draw' THEN 'Draw'
-         WHEN t.team_name = d.away_team_name AND d.match_result = 'Draw' THEN 'Draw'
-         WHEN t.team_name = d.home_team_name AND d.match_result IN ('Away Win', 'Away Win on Penalties') THEN 'Loss'
-         WHEN t.team_name = d.away_team_name AND d.match_result IN ('Home Win', 'Home Win on Penalties') THEN 'Loss'
-         ELSE 'Unknown' END AS outcome
-  FROM mbt_distinct_teams t
-  LEFT JOIN dim_match d ON t.team_name = d.home_team_name OR t.team_name = d.away_team_name
-  WHERE d.game_type IS NOT NULL
+  SELECT 'Away', away_team_name, home_team_name, away_team_score, home_team_score,
+    match_id, match_date, match_time, season_id, game_type, match_result FROM dim_match
+  WHERE away_team_name IS DISTINCT FROM home_team_name
 ),
 mbt_matches AS (
-  SELECT DISTINCT
-    team_id, team_name, match_id, match_date, match_time, season_id,
-    split_part(season_id, '_', 2) AS season,
-    game_type,
-    CASE WHEN team_name = home_team_name THEN 'Home' ELSE 'Away' END AS match_location,
-    CASE WHEN team_name = home_team_name THEN away_team_name ELSE home_team_name END AS opponent_team_name,
-    outcome AS match_outcome,
-    CASE WHEN team_name = home_team_name THEN home_team_score WHEN team_name = away_team_name THEN away_team_score ELSE 0 END AS goals_scored,
-    CASE WHEN team_name = home_team_name THEN away_team_score WHEN team_name = away_team_name THEN home_team_score ELSE 0 END AS goals_conceded,
-    CASE WHEN game_type = 'Regular Season' AND outcome = 'Win' THEN 3
-         WHEN game_type = 'Regular Season' AND outcome = 'Draw' THEN 1 ELSE 0 END AS match_points
-  FROM mbt_joined
+  SELECT DISTINCT {surrogate('team_name')} AS team_id, team_name, match_id, match_date, match_time, season_id,
+    split_part(season_id, '_', 2) AS season, game_type, match_location, opponent_team_name, match_outcome, goals_scored, goals_conceded,
+    if(game_type = 'Regular Season', coalesce(map {{'Win': 3, 'Draw': 1}}[match_outcome], 0), 0) AS match_points
+  FROM (
+    SELECT s.*, if(f.side IS NULL, 'Unknown', if(f.side = 'Neither', 'Draw', if(f.side = s.match_location, 'Win', 'Loss'))) AS match_outcome
+    FROM sides s LEFT JOIN favoured f USING (match_result) WHERE s.team_name IS NOT NULL)
 ),
-mbt_order AS (
-  SELECT *,
-    CAST(row_number() OVER (PARTITION BY team_id, season_id ORDER BY {_WEEK_ORDER}) AS INTEGER) AS match_week_number,
-    CAST(sum(match_points) OVER ({_W_TS}) AS BIGINT) AS season_points,
-    CAST(sum(CASE WHEN match_location = 'Home' THEN match_points ELSE 0 END) OVER ({_W_TS}) AS BIGINT) AS season_points_home,
-    CAST(sum(CASE WHEN match_location = 'Away' THEN match_points ELSE 0 END) OVER ({_W_TS}) AS BIGINT) AS season_points_away,
-    CAST(sum(goals_scored) OVER ({_W_TS}) AS BIGINT) AS season_goals_scored,
-    CAST(sum(goals_conceded) OVER ({_W_TS}) AS BIGINT) AS season_goals_conceded
-  FROM mbt_matches
+team_days AS (
+  SELECT team_id, season_id, match_date, {', '.join(f"sum({e}) AS day_{n}" for n, e in _DAY_SUMS.items())}
+  FROM mbt_matches GROUP BY ALL
 ),
-mbt_cum AS (
-  SELECT *, season_goals_scored - season_goals_conceded AS season_goal_difference,
-    sum(CASE WHEN match_outcome <> 'Win' THEN 1 ELSE 0 END) OVER ({_W_TS}) AS cum_non_wins,
-    sum(CASE WHEN match_outcome = 'Win' THEN 1 ELSE 0 END) OVER ({_W_TS}) AS cum_wins
-  FROM mbt_order
+team_totals AS (
+  SELECT team_id, season_id, match_date, day_wins, day_others, {', '.join(f"CAST(sum(day_{n}) OVER so_far AS BIGINT) AS {n}" for n in _DAY_SUMS)}
+  FROM team_days WINDOW so_far AS (PARTITION BY team_id, season_id ORDER BY match_date ASC NULLS LAST)
+),
+team_runs AS (  -- a run starts on the day that last raised the other count
+  SELECT *, wins - min(wins - day_wins) OVER (PARTITION BY team_id, season_id, others) AS win_run,
+    others - min(others - day_others) OVER (PARTITION BY team_id, season_id, wins) AS winless_run
+  FROM team_totals
+),
+team_weeks AS (
+  SELECT m.*, CAST(row_number() OVER (PARTITION BY m.team_id, m.season_id ORDER BY {nulls_last(_WEEK_ORDER, 'm.')}) AS INTEGER) AS match_week_number,
+    t.season_points, t.season_points_home, t.season_points_away, t.season_goals_scored, t.season_goals_conceded,
+    t.season_goals_scored - t.season_goals_conceded AS season_goal_difference,
+    CAST(if(m.match_outcome = 'Win', t.win_run, 0) AS BIGINT) AS consecutive_win_count,
+    CAST(if(m.match_outcome = 'Win', 0, t.winless_run) AS BIGINT) AS consecutive_winless_count
+  FROM mbt_matches m JOIN team_runs t
+    ON m.team_id = t.team_id AND m.season_id IS NOT DISTINCT FROM t.season_id AND m.match_date IS NOT DISTINCT FROM t.match_date
 ),
 matches_by_team AS (
-  SELECT * EXCLUDE (cum_non_wins, cum_wins),
-    {_rank('season_points DESC NULLS LAST, season_goal_difference DESC NULLS LAST')} AS current_match_week_position,
-    {_rank('season_points_home DESC NULLS LAST')} AS current_match_week_position_home,
-    {_rank('season_points_away DESC NULLS LAST')} AS current_match_week_position_away,
-    {_rank('season_goals_scored DESC NULLS LAST')} AS current_match_week_position_goals_scored_best_offense,
-    {_rank('season_goals_scored ASC NULLS LAST')} AS current_match_week_position_goals_scored_worst_offense,
-    {_rank('season_goals_conceded DESC NULLS LAST')} AS current_match_week_position_goals_conceded_worst_defence,
-    {_rank('season_goals_conceded ASC NULLS LAST')} AS current_match_week_position_goals_conceded_best_defence,
-    CAST(CASE WHEN match_outcome = 'Win' THEN
-      sum(CASE WHEN match_outcome = 'Win' THEN 1 ELSE 0 END) OVER (PARTITION BY team_id, season_id, cum_non_wins ORDER BY match_date ASC NULLS LAST)
-      ELSE 0 END AS BIGINT) AS consecutive_win_count,
-    CAST(CASE WHEN match_outcome <> 'Win' THEN
-      sum(CASE WHEN match_outcome <> 'Win' THEN 1 ELSE 0 END) OVER (PARTITION BY team_id, season_id, cum_wins ORDER BY match_date ASC NULLS LAST)
-      ELSE 0 END AS BIGINT) AS consecutive_winless_count
-  FROM mbt_cum
+  SELECT *, {_standings_sql}
+  FROM team_weeks
 )"""
 
 
@@ -302,60 +284,57 @@ def team_ctes() -> list[str]:
 
 
 # --------------------------------------------------------------------------
-# Player mart, literal form
+# Player mart
 # --------------------------------------------------------------------------
 def _player_sql() -> str:
     from touchline.operators.player_season import SEASON_RANKS, SEASON_TOTALS
     from touchline.plans.match_level_player import APPEARANCE_TIEBREAK
-    from touchline.schemas import PLAYER_COLUMNS
-
-    pcols = ", ".join(f"pms.{c}" for c in PLAYER_COLUMNS)
-    tiebreak = ", ".join(f"{c} ASC NULLS LAST" for c in APPEARANCE_TIEBREAK)
-    totals = ",\n    ".join(
-        f"CAST(sum({src}) OVER (PARTITION BY player_id, season_id, team_name) AS BIGINT) AS {t}"
-        for t, src in SEASON_TOTALS)
-    ranks = ",\n    ".join(
-        f"CAST(dense_rank() OVER (PARTITION BY team_name, season_id ORDER BY {t} DESC NULLS LAST, player ASC NULLS LAST) AS INTEGER) AS {r}"
-        for r, t in SEASON_RANKS)
+
+    totals = ", ".join(f"CAST(sum({src}) AS BIGINT) AS {t}" for t, src in SEASON_TOTALS)
+    ranks = ", ".join(f"CAST(dense_rank() OVER (PARTITION BY s.team_name, s.season_id ORDER BY {t} DESC NULLS LAST, player ASC NULLS LAST) AS INTEGER) AS {r}"
+                      for r, t in SEASON_RANKS)
+
+    def same(a, b, cols):
+        return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
+
     return f"""
-pl_joined AS (
-  SELECT pms.*, mbt.season_id AS season_id, mbt.match_week_number AS match_week_number, mbt.match_date AS match_date
-  FROM player_match_stats pms
-  LEFT JOIN matches_by_team mbt ON pms.match_id = mbt.match_id AND pms.team_name = mbt.team_name
+appearances AS (
+  SELECT p.*, w.season_id, w.match_week_number, w.match_date
+  FROM player_match_stats p LEFT JOIN matches_by_team w USING (match_id, team_name)
 ),
 primary_position_by_season AS (
-  SELECT player_id, season_id, primary_position, CAST(sum(minutes) AS BIGINT) AS total_minutes,
-    CAST(row_number() OVER (PARTITION BY player_id, season_id
-                            ORDER BY sum(minutes) DESC NULLS LAST, primary_position ASC NULLS LAST) AS INTEGER) AS season_primary_position_rank
-  FROM pl_joined
-  GROUP BY player_id, season_id, primary_position
+  SELECT *, CAST(row_number() OVER (PARTITION BY player_id, season_id
+      ORDER BY total_minutes DESC NULLS LAST, primary_position ASC NULLS LAST) AS INTEGER) AS season_primary_position_rank
+  FROM (SELECT player_id, season_id, primary_position, CAST(sum(minutes) AS BIGINT) AS total_minutes FROM appearances GROUP BY ALL)
 ),
-pl_grouped AS (
-  SELECT {pcols},
-    pp.primary_position AS season_primary_position,
-    pms.match_week_number, pms.season_id, pms.match_date,
-    try_cast(split_part(pms.age, '-', 1) AS INTEGER) + try_cast(split_part(pms.age, '-', 2) AS INTEGER) / 365 AS age_numeric,
-    count(DISTINCT pc.primary_position) AS season_primary_position_count
-  FROM pl_joined pms
-  LEFT JOIN primary_position_by_season pp
-    ON pms.player_id = pp.player_id AND pms.season_id = pp.season_id AND pp.season_primary_position_rank = 1
-  LEFT JOIN primary_position_by_season pc
-    ON pms.player_id = pc.player_id AND pms.season_id = pc.season_id
-  GROUP BY {pcols}, pp.primary_position, pms.match_week_number, pms.season_id, pms.match_date
+season_positions AS (
+  SELECT player_id, season_id, count(primary_position) AS season_primary_position_count,
+    any_value(primary_position) FILTER (season_primary_position_rank = 1) AS season_primary_position
+  FROM primary_position_by_season GROUP BY ALL
 ),
-pl_windows AS (
-  SELECT *,
-    min(age_numeric) OVER (PARTITION BY player_id, season_id) AS age_at_season_start,
-    max(age_numeric) OVER (PARTITION BY player_id, season_id) AS age_at_season_end,
-    avg(age_numeric) OVER (PARTITION BY player_id, season_id) AS average_age_per_season,
-    CAST(row_number() OVER (PARTITION BY player_id, season_id ORDER BY match_date ASC NULLS LAST, {tiebreak}) AS INTEGER) AS season_appearances_number,
-    {totals}
-  FROM pl_grouped
+season_rows AS (
+  SELECT *, try_cast(split_part(age, '-', 1) AS INTEGER) + try_cast(split_part(age, '-', 2) AS INTEGER) / 365 AS age_numeric
+  FROM (SELECT DISTINCT * FROM appearances)
+),
+season_ages AS (
+  SELECT player_id, season_id, min(age_numeric) AS age_at_season_start, max(age_numeric) AS age_at_season_end, avg(age_numeric) AS average_age_per_season
+  FROM season_rows GROUP BY ALL
+),
+season_sums AS (SELECT player_id, season_id, team_name, {totals} FROM season_rows GROUP BY ALL),
+season_names AS (SELECT DISTINCT player_id, season_id, team_name, player FROM season_rows),
+season_ranks AS (
+  SELECT n.player, s.*, {ranks}
+  FROM season_names n JOIN season_sums s ON {same('n', 's', ['player_id', 'season_id', 'team_name'])}
 ),
 match_level_player_data AS (
-  SELECT *,
-    {ranks}
-  FROM pl_windows
+  SELECT r.*, c.season_primary_position, coalesce(c.season_primary_position_count, 0) AS season_primary_position_count,
+    a.age_at_season_start, a.age_at_season_end, a.average_age_per_season,
+    CAST(row_number() OVER (PARTITION BY r.player_id, r.season_id ORDER BY {nulls_last(["match_date", *APPEARANCE_TIEBREAK], 'r.')}) AS INTEGER) AS season_appearances_number,
+    k.* EXCLUDE (player, player_id, season_id, team_name)
+  FROM season_rows r
+  JOIN season_ages a ON {same('r', 'a', ['player_id', 'season_id'])}
+  JOIN season_ranks k ON {same('r', 'k', ['player_id', 'season_id', 'team_name', 'player'])}
+  LEFT JOIN season_positions c ON r.player_id = c.player_id AND r.season_id = c.season_id
 )"""
 
 
@@ -367,52 +346,69 @@ def player_ctes() -> list[str]:
 
 
 # --------------------------------------------------------------------------
-# Play-off mart, literal form (max_by/min_by skip NULL values natively)
+# Play-off mart: the last regular row, the first and last play-off row, and counts
 # --------------------------------------------------------------------------
-_ORD = "CASE WHEN match_date IS NOT NULL THEN {'d': match_date, 'w': match_week_number} END"
-PLAYOFF_MART = f"""
+# Day on which the registered play-off queries look back: later seasons are not completed.
+PLAYOFF_AS_OF = "1998-06-30"
+_TEAM_SEASON = "team_name, team_id, season_id"
+
+
+def playoff_mart(as_of: str | None = None) -> str:
+    year = f"year(DATE {q(as_of)})" if as_of else "year(current_date)"
+
+    def per(c):
+        return f"{c} / match_count AS {c}_per_match"
+
+    def share(cond):
+        return f"count(DISTINCT match_id) FILTER ({cond}) / nullif(count(DISTINCT match_id), 0)"
+
+    return f"""
+past_rows AS (SELECT * FROM matches_by_team WHERE CAST(split_part(season_id, '_', 2) AS INTEGER) < {year}),
+regular_rows AS (SELECT * FROM past_rows WHERE game_type = 'Regular Season'),
+knockout_rows AS (
+  SELECT *, row_number() OVER (PARTITION BY {_TEAM_SEASON}, match_date IS NULL ORDER BY match_date, match_week_number) AS nth,
+    row_number() OVER (PARTITION BY {_TEAM_SEASON}, match_date IS NULL ORDER BY match_date DESC, match_week_number DESC) AS nth_last
+  FROM past_rows WHERE game_type <> 'Regular Season'
+),
+regular_ends AS (
+  SELECT {_TEAM_SEASON}, match_week_number AS match_count, current_match_week_position AS regular_season_end_position,
+    season_points AS regular_season_end_points, season_goal_difference AS regular_season_end_goal_difference,
+    season_goals_scored AS regular_season_end_goals_scored, season_goals_conceded AS regular_season_end_goals_conceded,
+    current_match_week_position_goals_scored_best_offense AS regular_season_end_goals_scored_rank,
+    current_match_week_position_goals_conceded_best_defence AS regular_season_end_goals_conceded_rank
+  FROM regular_rows QUALIFY row_number() OVER (PARTITION BY {_TEAM_SEASON} ORDER BY match_week_number DESC) = 1
+),
 regular_season_summary AS (
-  SELECT team_name, team_id, season_id,
-    max(match_week_number) AS match_count,
-    max_by(current_match_week_position, match_week_number) AS regular_season_end_position,
-    max_by(season_points, match_week_number) AS regular_season_end_points,
-    max_by(season_points, match_week_number) / max(match_week_number) AS regular_season_end_points_per_match,
-    max_by(season_goal_difference, match_week_number) AS regular_season_end_goal_difference,
-    max_by(season_goals_scored, match_week_number) AS regular_season_end_goals_scored,
-    max_by(current_match_week_position_goals_scored_best_offense, match_week_number) AS regular_season_end_goals_scored_rank,
-    max_by(season_goals_scored, match_week_number) / max(match_week_number) AS regular_season_end_goals_scored_per_match,
-    max_by(season_goals_conceded, match_week_number) AS regular_season_end_goals_conceded,
-    max_by(current_match_week_position_goals_conceded_best_defence, match_week_number) AS regular_season_end_goals_conceded_rank,
-    max_by(season_goals_conceded, match_week_number) / max(match_week_number) AS regular_season_end_goals_conceded_per_match,
-    max(consecutive_win_count) AS regular_season_longest_consecutive_win_count,
-    count(DISTINCT CASE WHEN match_outcome = 'Win' THEN match_id END) / count(DISTINCT match_id) AS regular_season_win_percentage
-  FROM matches_by_team
-  WHERE game_type = 'Regular Season' AND CAST(split_part(season_id, '_', 2) AS INTEGER) < year(current_date)
-  GROUP BY ALL
+  SELECT e.*, {per('regular_season_end_points')}, {per('regular_season_end_goals_scored')}, {per('regular_season_end_goals_conceded')},
+    c.regular_season_longest_consecutive_win_count, c.regular_season_win_percentage
+  FROM regular_ends e JOIN (
+    SELECT {_TEAM_SEASON}, max(consecutive_win_count) AS regular_season_longest_consecutive_win_count,
+      {share("match_outcome = 'Win'")} AS regular_season_win_percentage
+    FROM regular_rows GROUP BY ALL) c USING ({_TEAM_SEASON})
 ),
 playoff_history AS (
-  SELECT team_name, team_id, season_id,
-    min_by(match_location, {_ORD}) AS first_playoff_round_match_location,
-    count(DISTINCT CASE WHEN match_location = 'Home' THEN match_id END) / count(DISTINCT match_id) AS playoff_run_home_percentage,
-    max_by(game_type, {_ORD}) AS playoff_run_latest_round,
-    max_by(match_outcome, {_ORD}) AS playoff_run_latest_round_match_outcome
-  FROM matches_by_team
-  WHERE game_type <> 'Regular Season' AND CAST(split_part(season_id, '_', 2) AS INTEGER) < year(current_date)
-  GROUP BY ALL
+  SELECT {_TEAM_SEASON},
+    any_value(match_location) FILTER (nth = 1 AND match_date IS NOT NULL) AS first_playoff_round_match_location,
+    {share("match_location = 'Home'")} AS playoff_run_home_percentage,
+    any_value(game_type) FILTER (nth_last = 1 AND match_date IS NOT NULL) AS playoff_run_latest_round,
+    any_value(match_outcome) FILTER (nth_last = 1 AND match_date IS NOT NULL) AS playoff_run_latest_round_match_outcome
+  FROM knockout_rows GROUP BY ALL
+),
+playoff_ends AS (
+  SELECT team_id, season_id, playoff_run_home_percentage, first_playoff_round_match_location = 'Home' AS began_home,
+    if(playoff_run_latest_round = 'Final' AND playoff_run_latest_round_match_outcome = 'Win', 'Playoff Champions', 'Lost in ' || playoff_run_latest_round) AS ending
+  FROM playoff_history
 ),
 playoff_champions AS (
-  SELECT r.*,
-    CASE WHEN p.first_playoff_round_match_location = 'Home' THEN 1 ELSE 0 END AS first_playoff_round_match_location_is_home,
-    p.playoff_run_home_percentage,
-    CASE WHEN p.playoff_run_latest_round = 'Final' AND p.playoff_run_latest_round_match_outcome = 'Win' THEN 'Playoff Champions'
-         WHEN p.playoff_run_latest_round IS NOT NULL THEN 'Lost in ' || p.playoff_run_latest_round
-         ELSE 'Missed Playoffs' END AS playoff_result,
-    CASE WHEN p.playoff_run_latest_round = 'Final' AND p.playoff_run_latest_round_match_outcome = 'Win' THEN 1 ELSE 0 END AS is_playoff_champion
-  FROM regular_season_summary r
-  LEFT JOIN playoff_history p ON r.team_id = p.team_id AND r.season_id = p.season_id
+  SELECT r.*, coalesce(p.began_home::INTEGER, 0) AS first_playoff_round_match_location_is_home, p.playoff_run_home_percentage,
+    coalesce(p.ending, 'Missed Playoffs') AS playoff_result, coalesce((p.ending = 'Playoff Champions')::INTEGER, 0) AS is_playoff_champion
+  FROM regular_season_summary r LEFT JOIN playoff_ends p USING (team_id, season_id)
 )"""
 
 
+PLAYOFF_MART = playoff_mart(PLAYOFF_AS_OF)
+
+
 def playoff_ctes() -> list[str]:
     return [*team_ctes(), PLAYOFF_MART]
 
@@ -422,7 +418,7 @@ def playoff_ctes() -> list[str]:
 # --------------------------------------------------------------------------
 _LINK = '<a\\b[^>]*\\bhref="([^"]*)"[^>]*>(.*?)</a>'
 _ENT = [("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-        ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&amp;", "&")]
+        ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&")]
 
 
 def html_text(expr: str) -> str:

@@ -1,8 +1,8 @@
 """Play-off outcome summary (C1-C9): one row per team-season that reached the play-offs.
 
-Both inputs are aggregates of the team-match mart grouped by team-season
-(partial aggregation on the map side, so a hot team-season never sits in one
-task as raw rows); the join is between two aggregates.
+One pass over the team-match mart gives both halves as aggregates (partial
+aggregation on the map side, so a hot team-season never sits in one task as
+raw rows); nothing is joined.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.ordering import max_by_nonnull, min_by_nonnull
 from touchline.operators.sides import REGULAR_SEASON
 
 GROUP = ["team_name", "team_id", "season_id"]
@@ -36,64 +35,78 @@ def completed_seasons(mbt: DataFrame, as_of=None) -> Column:
     return F.split_part(F.col("season_id"), F.lit("_"), F.lit(2)).cast("int") < F.year(_as_of(as_of))
 
 
-# C6
-def distinct_ratio(cond: Column, key: str = "match_id") -> Column:
-    return F.try_divide(F.count_distinct(F.when(cond, F.col(key))), F.count_distinct(F.col(key)))
+# Last regular-season figures (C2): output name -> column of the team-match mart.
+SEASON_END = {
+    "position": "current_match_week_position",
+    "points": "season_points",
+    "goal_difference": "season_goal_difference",
+    "goals_scored": "season_goals_scored",
+    "goals_scored_rank": "current_match_week_position_goals_scored_best_offense",
+    "goals_conceded": "season_goals_conceded",
+    "goals_conceded_rank": "current_match_week_position_goals_conceded_best_defence",
+}
 
 
-def regular_season_summary(mbt: DataFrame, as_of=None) -> DataFrame:
-    """End-of-regular-season figures per team-season."""
-    reg = mbt.filter((F.col("game_type") == REGULAR_SEASON) & completed_seasons(mbt, as_of))
-    wk = "match_week_number"
-    agg = reg.groupBy(*GROUP).agg(
-        F.max(wk).alias("match_count"),
-        max_by_nonnull("current_match_week_position", wk).alias("regular_season_end_position"),
-        max_by_nonnull("season_points", wk).alias("regular_season_end_points"),
-        max_by_nonnull("season_goal_difference", wk).alias("regular_season_end_goal_difference"),
-        max_by_nonnull("season_goals_scored", wk).alias("regular_season_end_goals_scored"),
-        max_by_nonnull("current_match_week_position_goals_scored_best_offense", wk)
-        .alias("regular_season_end_goals_scored_rank"),
-        max_by_nonnull("season_goals_conceded", wk).alias("regular_season_end_goals_conceded"),
-        max_by_nonnull("current_match_week_position_goals_conceded_best_defence", wk)
-        .alias("regular_season_end_goals_conceded_rank"),
-        F.max("consecutive_win_count").alias("regular_season_longest_consecutive_win_count"),
-        distinct_ratio(F.col("match_outcome") == "Win").alias("regular_season_win_percentage"),
+def season_outcomes(mbt: DataFrame, as_of=None) -> DataFrame:
+    """One row per team-season with its regular-season and its play-off figures.
+
+    Two steps of aggregation over one scan: per match first, which makes the
+    distinct matches of C6 plain counts, then per team-season. ``r`` and ``p``
+    are NULL where the team-season has no row of that kind.
+    """
+    regular = F.col("game_type") == REGULAR_SEASON
+    other = F.col("game_type") != REGULAR_SEASON
+    week = F.when(regular, F.col("match_week_number"))
+    # "Latest" orders by match date, ties broken by the match week number; undated rows do not count.
+    when = F.when(other & F.col("match_date").isNotNull() & F.col("match_week_number").isNotNull(), F.struct("match_date", "match_week_number"))
+    end = F.struct(*[F.col(c).alias(n) for n, c in SEASON_END.items()])
+    leg = F.struct("match_location", "game_type", "match_outcome")
+    per_match = mbt.filter(completed_seasons(mbt, as_of) & F.col("game_type").isNotNull()).groupBy(*GROUP, "match_id").agg(
+        F.max(week).alias("week"), F.max_by(end, week).alias("end"),
+        F.max(F.when(regular, F.col("consecutive_win_count"))).alias("streak"),
+        F.max(F.when(regular, (F.col("match_outcome") == "Win").cast("int"))).alias("won"),
+        F.min(when).alias("first_at"), F.min_by(leg, when).alias("first_leg"), F.max(when).alias("last_at"), F.max_by(leg, when).alias("last_leg"),
+        F.max(F.when(other, (F.col("match_location") == "Home").cast("int"))).alias("home"),
+        F.count_if(other).alias("others"),
+    )
+    known = F.col("match_id").isNotNull()
+    share = lambda flag: F.try_divide(F.count_if(known & (F.col(flag) == 1)), F.count_if(known & F.col(flag).isNotNull()))
+    return per_match.groupBy(*GROUP).agg(
+        F.max("week").alias("match_count"), F.max_by("end", "week").alias("end"), F.max("streak").alias("streak"), share("won").alias("win_share"),
+        F.min_by("first_leg", "first_at").alias("first_leg"), F.max_by("last_leg", "last_at").alias("last_leg"), share("home").alias("home_share"),
+        (F.sum("others") > 0).alias("has_playoff"),
     )
 
-    def per_match(c):  # C4
-        return F.try_divide(F.col(c), F.col("match_count"))
 
-    return agg.select(
-        *GROUP,
-        "match_count",
-        "regular_season_end_position",
-        "regular_season_end_points",
-        per_match("regular_season_end_points").alias("regular_season_end_points_per_match"),
-        "regular_season_end_goal_difference",
-        "regular_season_end_goals_scored",
-        "regular_season_end_goals_scored_rank",
-        per_match("regular_season_end_goals_scored").alias("regular_season_end_goals_scored_per_match"),
-        "regular_season_end_goals_conceded",
-        "regular_season_end_goals_conceded_rank",
-        per_match("regular_season_end_goals_conceded").alias("regular_season_end_goals_conceded_per_match"),
-        "regular_season_longest_consecutive_win_count",
-        "regular_season_win_percentage",
-    )
+def _regular_columns() -> list[Column]:
+    end = F.col("end")
 
+    def per_match(n):  # C4
+        return F.try_divide(end[n], F.col("match_count")).alias(f"regular_season_end_{n}_per_match")
 
-def playoff_history(mbt: DataFrame, as_of=None) -> DataFrame:
-    """First venue, home share and latest round/outcome of each play-off run.
+    out = [F.col(c) for c in GROUP] + [F.col("match_count")]
+    for n in SEASON_END:
+        out.append(end[n].alias(f"regular_season_end_{n}"))
+        if n == "points":
+            out.append(per_match(n))
+        if n.endswith("_rank"):
+            out.append(per_match(n.removesuffix("_rank")))
+    return out + [F.col("streak").alias("regular_season_longest_consecutive_win_count"), F.col("win_share").alias("regular_season_win_percentage")]
 
-    "Latest" orders by match date, ties broken by the match week number.
-    """
-    po = mbt.filter((F.col("game_type") != REGULAR_SEASON) & completed_seasons(mbt, as_of))
-    order = ("match_date", "match_week_number")
-    return po.groupBy(*GROUP).agg(
-        min_by_nonnull("match_location", *order).alias("first_playoff_round_match_location"),
-        distinct_ratio(F.col("match_location") == "Home").alias("playoff_run_home_percentage"),
-        max_by_nonnull("game_type", *order).alias("playoff_run_latest_round"),
-        max_by_nonnull("match_outcome", *order).alias("playoff_run_latest_round_match_outcome"),
-    )
+
+def regular_season_summary(mbt: DataFrame, as_of=None) -> DataFrame:
+    """End-of-regular-season figures per team-season."""
+    return season_outcomes(mbt, as_of).filter(F.col("match_count").isNotNull()).select(*_regular_columns())
+
+
+def playoff_history(mbt: DataFrame, as_of=None) -> DataFrame:
+    """First venue, home share and latest round/outcome of each play-off run."""
+    return season_outcomes(mbt, as_of).filter("has_playoff").select(
+        *GROUP,
+        F.col("first_leg.match_location").alias("first_playoff_round_match_location"),
+        F.col("home_share").alias("playoff_run_home_percentage"),
+        F.col("last_leg.game_type").alias("playoff_run_latest_round"),
+        F.col("last_leg.match_outcome").alias("playoff_run_latest_round_match_outcome"))
 
 
 def playoff_result(latest_round: Column, latest_outcome: Column) -> tuple[Column, Column]:
@@ -105,18 +118,12 @@ def playoff_result(latest_round: Column, latest_outcome: Column) -> tuple[Column
 
 
 def playoff_champions(mbt: DataFrame, as_of=None) -> DataFrame:
-    rs = regular_season_summary(mbt, as_of)
-    ph = playoff_history(mbt, as_of).select(
-        F.col("team_id").alias("_ph_team_id"), F.col("season_id").alias("_ph_season_id"),
-        "first_playoff_round_match_location", "playoff_run_home_percentage",
-        "playoff_run_latest_round", "playoff_run_latest_round_match_outcome")
-    j = rs.join(ph, (rs["team_id"] == ph["_ph_team_id"]) & (rs["season_id"] == ph["_ph_season_id"]), "left")
-    result, champ = playoff_result(F.col("playoff_run_latest_round"), F.col("playoff_run_latest_round_match_outcome"))
-    out = j.select(
-        *rs.columns,
-        F.when(F.coalesce(F.col("first_playoff_round_match_location") == "Home", F.lit(False)), F.lit(1))
-        .otherwise(F.lit(0)).alias("first_playoff_round_match_location_is_home"),
-        "playoff_run_home_percentage",
+    """Team-seasons with a regular season that reached the play-offs."""
+    result, champ = playoff_result(F.col("last_leg.game_type"), F.col("last_leg.match_outcome"))
+    out = season_outcomes(mbt, as_of).filter(F.col("match_count").isNotNull()).select(
+        *_regular_columns(),
+        F.coalesce((F.col("first_leg.match_location") == "Home").cast("int"), F.lit(0)).alias("first_playoff_round_match_location_is_home"),
+        F.when(F.col("has_playoff"), F.col("home_share")).alias("playoff_run_home_percentage"),
         result.alias("playoff_result"),
         champ.alias("is_playoff_champion"),
     )

@@ -64,18 +64,18 @@ def q_match_level_player(spark, sf_dir):
 
 @register("regular_season_summary", O.with_ctes(*O.playoff_ctes(), select="SELECT * FROM regular_season_summary"))
 def q_regular_season_summary(spark, sf_dir):
-    return regular_season_summary(league_matches_by_team(spark, sf_dir))
+    return regular_season_summary(league_matches_by_team(spark, sf_dir), O.PLAYOFF_AS_OF)
 
 
 @register("playoff_history", O.with_ctes(*O.playoff_ctes(), select="SELECT * FROM playoff_history"))
 def q_playoff_history(spark, sf_dir):
-    return playoff_history(league_matches_by_team(spark, sf_dir))
+    return playoff_history(league_matches_by_team(spark, sf_dir), O.PLAYOFF_AS_OF)
 
 
 @register("playoff_champions", O.with_ctes(
     *O.playoff_ctes(), select="SELECT * FROM playoff_champions WHERE playoff_result <> 'Missed Playoffs'"))
 def q_playoff_champions(spark, sf_dir):
-    return playoff_champions(league_matches_by_team(spark, sf_dir))
+    return playoff_champions(league_matches_by_team(spark, sf_dir), O.PLAYOFF_AS_OF)
 
 
 # ---------------------------------------------------------------- extraction
@@ -101,7 +101,7 @@ def q_player_html_roundtrip(spark, sf_dir):
 
 @register("page_links", O.PAGE_LINKS)
 def q_page_links(spark, sf_dir):
-    return extract.page_links(shim.read_table(spark, sf_dir, "pages", spread=True)).drop("link_pos")
+    return extract.page_links(shim.read_table(spark, sf_dir, "pages")).drop("link_pos")
 
 
 def queries() -> dict[str, Builder]:

@@ -7,8 +7,7 @@ session and only filled in where they are unset (local tests).
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,18 +32,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for intermediate tables and lineage cuts.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set. Only when it is unset
-    (local tests) a scratch folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` where it is set. Where it is unset,
+    a local session (tests) uses a folder of its warehouse; any other session
+    gets an error, as its executors may share no folder.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
-        return current
-    path = tempfile.mkdtemp(prefix="touchline-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+        return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -56,17 +55,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """Location for an intermediate table written to cut lineage."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)
+    """A new location for an intermediate table; concurrent jobs never share one."""
+    return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a finished job's intermediate table, on whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder (reliable checkpoint).
 
-    Used where several branches consume the same expensive intermediate; the
-    checkpoint keeps the known partitioning, so consumers that need it do not
-    shuffle again, and a lost executor re-reads the files instead of
-    recomputing the lineage.
+    A lost executor's share is read from the files again instead of being
+    recomputed. Checkpointed rows are in row format; a wide table of which
+    consumers read few columns is better written as Parquet.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

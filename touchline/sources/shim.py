@@ -33,23 +33,8 @@ LEAGUE_ID = "73"
 N_NATIONS = 25  # size of the fixed `nation` dimension
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_scan(df) if spread else df
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Scan-parallelism guard.
-
-    A table stored as a single row group scans in one task. When a scan has
-    fewer partitions than the cluster's default parallelism, spread it
-    round-robin; on real multi-file inputs this is a no-op (no extra shuffle).
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _hex8(c):
@@ -59,16 +44,16 @@ def _hex8(c):
 
 def schedule_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schedule rows as captured (before score/URL normalisation)."""
-    o = read_table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # `nation` is a fixed 25-row dimension: broadcasting it is size-safe.
-    home = F.broadcast(nation.select(F.col("n_nationkey").alias("h_key"), F.col("n_name").alias("home_team")))
-    away = F.broadcast(nation.select(F.col("n_nationkey").alias("a_key"), F.col("n_name").alias("away_team")))
+    home = nation.select(F.col("n_nationkey").alias("h_key"), F.col("n_name").alias("home_team"))
+    away = nation.select(F.col("n_nationkey").alias("a_key"), F.col("n_name").alias("away_team"))
 
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     df = (
-        o.join(c, o.o_custkey == c.c_custkey)
+        # Orders and customers both grow, so both are shuffled on the key.
+        o.join(c.hint("shuffle_hash"), o.o_custkey == c.c_custkey)
         .withColumn("a_nat", (F.col("c_nationkey") + 1 + k % 24) % N_NATIONS)
         .join(home, F.col("c_nationkey") == F.col("h_key"))
         .join(away, F.col("a_nat") == F.col("a_key"))
@@ -141,17 +126,17 @@ def player_capture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def player_capture_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Captured rows plus helper columns (order key, page URL, line number)."""
-    li = read_table(spark, sf_dir, "lineitem", spread=True).select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = F.broadcast(read_table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nat"), F.col("n_name").alias("s_nation")))
+    nation = read_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("s_nat"), F.col("n_name").alias("s_nation"))
     m = match_stats(spark, sf_dir, keep_key=True).select("order_key", "home_team", "away_team", "match_id",
                                                          F.col("match_report").alias("page_url"))
 
     df = (
-        li.join(m, li.l_orderkey == m.order_key)
+        li.join(m.hint("merge"), li.l_orderkey == m.order_key)
         .join(part, li.l_partkey == part.p_partkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
         .join(nation, F.col("s_nationkey") == F.col("s_nat"), "left")
