@@ -33,6 +33,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate table that nothing reads any more, on any store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bitmap(hashes: DataFrame, column: str, log2_bits: int = 23) -> np.ndarray:
     """A one-probe Bloom filter of a column of 64-bit hashes.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import new_folder
+from touchline.llm.shared import drop_folder, new_folder
 from touchline.llm.textbatch import list_column, text_bytes
 from touchline.llm.tokenize_chunks import encoder
 
@@ -207,6 +207,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
     blocks = placed.mapInArrow(_blocks(dtype, *book), "doc_id long, n_tokens long, bits binary, marks array<long>")
     blocks = blocks.select(F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("seq"), "doc_id", "n_tokens", "bits", "marks")
     blocks.write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    drop_folder(spark, f"{folder}/ids")  # all in the blocks now
 
 
 def read_tokens(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
