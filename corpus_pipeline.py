@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import lsh_forest, mixing, token_huffman, toxicity_fm, winnow
 from touchline.llm.queries import table, tokenizer_path
-from touchline.llm.shared import new_folder
+from touchline.llm.shared import drop_folder, new_folder
 
 TOXIC = 0.7
 
@@ -57,9 +57,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents`` of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = new_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        if before:
+            drop_folder(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return docs
