@@ -22,3 +22,14 @@ def test_team_mart_keeps_one_detail_shuffle_for_the_windows(spark):
     plan = REGISTRY["matches_by_team"][0](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") >= 1
     assert "SortMergeJoin" not in plan or plan.count("SortMergeJoin") <= 1
+
+
+@pytest.mark.parametrize(("name", "table", "scans"), [("match_level_player_data", "lineitem", 2), ("playoff_champions", "orders", 1)])
+def test_marts_read_their_input_once(spark, name, table, scans):
+    # In the plan that ran, all branches share one exchange of the rows (outfield and keepers are two scans),
+    # and no distinct count multiplies them.
+    df = REGISTRY[name][0](spark, SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count(f"{table}.parquet") == scans
+    assert "Expand" not in final and "ReusedExchange" in final
