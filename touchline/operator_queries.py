@@ -30,7 +30,8 @@ from touchline.sources import shim
 q = O.q
 SCHED = [O.SHIM_SCHEDULE]
 PLAYERS = [O.SHIM_SCHEDULE, O.SHIM_PLAYERS]
-LEAGUES = {"73": "League 73"}
+LEAGUES = {"73": "League 73", "74": "League 74"}
+_LEAGUES_SQL = "(VALUES " + ", ".join(f"({O.q(k)}, {O.q(v)})" for k, v in LEAGUES.items()) + ") AS l(id, name)"
 
 
 def sql(blocks, select):
@@ -410,10 +411,9 @@ def q_missing_dates(spark, sf_dir):
 
 
 _DIMS = f"""season_files AS (
-  SELECT DISTINCT '73_' || CAST(year(o_orderdate) AS VARCHAR) AS season_id, '73' AS league_id,
-    {q(LEAGUES['73'])} AS league_name, CAST(year(o_orderdate) AS VARCHAR) || ' Season' AS season_name,
-    {q(shim.BASE_URL + '/en/comps/73/')} || CAST(year(o_orderdate) AS VARCHAR) || '/schedule/' AS url
-  FROM orders)"""
+  SELECT '73_' || y AS season_id, '73' AS league_id, {q(LEAGUES['73'])} AS league_name,
+    y || if(y % 2 = 0, ' Season', ' Season (all)') AS season_name, {q(shim.BASE_URL + '/en/comps/73/')} || y || '/schedule/' AS url
+  FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) WHERE y % 4 <> 3)"""
 
 
 @register("schedule_lookup", sql([_DIMS], f"""
@@ -428,13 +428,15 @@ SELECT
 FROM (SELECT DISTINCT '73_' || CAST(year(l_shipdate) AS VARCHAR) AS season_id FROM lineitem) r
 LEFT JOIN season_files f ON f.season_id = r.season_id"""))
 def q_schedule_lookup(spark, sf_dir):
-    """Schedule row per requested season from the season files, else synthesised."""
-    o = shim.read_table(spark, sf_dir, "orders")
-    files = S.season_dims(o.select(F.year("o_orderdate").cast("string").alias("season_year_id")).distinct(),
-                          LEAGUES, base_url=shim.BASE_URL)
+    """Schedule row per requested season from the season files (here of even
+    years), else from the consolidated table, else synthesised."""
+    dims = q_season_dims(spark, sf_dir)
+    year = F.col("season_year_id").cast("int")
+    files = dims.filter(year % 2 == 0)
+    consolidated = dims.filter(year % 4 != 3).withColumn("season_name", F.concat("season_name", F.lit(" (all)")))
     li = shim.read_table(spark, sf_dir, "lineitem")
     req = li.select(F.concat(F.lit("73_"), F.year("l_shipdate").cast("string")).alias("season_id"))
-    return R.schedule_lookup(req, files, base_url=shim.BASE_URL)
+    return R.schedule_lookup(req, files, consolidated, base_url=shim.BASE_URL)
 
 
 @register("latest_date", sql(SCHED, f"""
@@ -447,9 +449,9 @@ def q_latest_date(spark, sf_dir):
 
 # ============================================================ sources
 @register("season_dims", f"""
-SELECT '73_' || y AS season_id, '73' AS league_id, {q(LEAGUES['73'])} AS league_name, y AS season_year_id,
-  y || ' Season' AS season_name, {q(shim.BASE_URL + '/en/comps/73/')} || y || '/schedule/' AS url
-FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)""")
+SELECT l.id || '_' || y AS season_id, l.id AS league_id, l.name AS league_name, y AS season_year_id,
+  y || ' Season' AS season_name, {q(shim.BASE_URL + '/en/comps/')} || l.id || '/' || y || '/schedule/' AS url
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders), {_LEAGUES_SQL}""")
 def q_season_dims(spark, sf_dir):
     """Season years (from the data) x configured leagues."""
     o = shim.read_table(spark, sf_dir, "orders")
@@ -501,9 +503,9 @@ def _new_folder(spark, name: str) -> str:
 
 
 @register("season_file_load", f"""
-SELECT '73_' || y AS season_id, '73' AS league_id, {q(LEAGUES['73'])} AS league_name, y || ' Season' AS season_name,
-  {q(shim.BASE_URL + '/en/comps/73/')} || y || '/schedule/' AS url
-FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)""")
+SELECT l.id || '_' || y AS season_id, l.id AS league_id, l.name AS league_name, y || ' Season' AS season_name,
+  {q(shim.BASE_URL + '/en/comps/')} || l.id || '/' || y || '/schedule/' AS url
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders), {_LEAGUES_SQL}""")
 def q_season_file_load(spark, sf_dir):
     """S3: season files, one a season, read as the 5 columns a schedule reader needs."""
     path = _new_folder(spark, "season_files")
