@@ -277,6 +277,15 @@ def test_large_group(spark):
     assert all(r.kept for r in got if r.doc_id >= 2000)
 
 
+def test_sketch_margin():
+    """A pair of similarity 0.80 differs in more than 43 of 160 sketch values 34 times in a million."""
+    n = lsh_forest.SKETCH
+    one, other = bytes(n), bytes([0x55] * 11 + [0x05]) + bytes(n - 12)  # 46 values differ
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array([bytes(lsh_forest.DEPTH * 4)] * 2), pa.array([1, 2], pa.int64()), pa.array([one, other])], ["tree", "key", "id", "sketch"])
+    found = [r for b in lsh_forest._neighbours(80)(iter([batch])) for r in b.to_pylist()]
+    assert found and (found[0]["a"], found[0]["b"]) == (1, 2)
+
+
 def test_components_by_contraction(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]

@@ -14,7 +14,9 @@
    from one component to another.
 
 No pair of a group is listed beyond those neighbours, and the chance that a
-pair of similarity 0.8 shares no prefix in any tree is (1 - 0.8**3)**20 < 1e-6.
+pair of similarity 0.8 shares no prefix in any tree is (1 - 0.8**3)**20 < 6e-7.
+Two-bit sketches of the values drop candidates before the exact check, a pair
+of similarity 0.8 with a chance below 1e-7; together that is below 7e-7.
 Two texts of the least similarity that lie in a region of very many that are
 nearly as similar can still miss each other; through any third text that links
 with both they meet all the same.
@@ -23,6 +25,7 @@ with both they meet all the same.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ from touchline.llm.textbatch import SPACED, Hasher, constants, doc_index, grams,
 
 TREES, DEPTH, SHALLOW, REACH, FIRST_TREES = 20, 8, 3, 12, 3
 SKETCH = TREES * DEPTH // 4  # bytes that hold the low two bits of every MinHash value
-MARGIN = 0.16  # about five standard deviations of the estimate
+SKETCH_MISS = 1e-7  # chance at most that the sketches drop a pair of the least similarity
 DIFFERING = np.array([((b | b >> 1) & 0x55).bit_count() for b in range(256)], np.uint8)  # pairs of bits that are not 00
 _U = np.uint64
 
@@ -114,10 +117,20 @@ def _signatures(k: int):
     return run
 
 
+def most_differing(similar: int) -> int:
+    """The fewest differing sketch values that a pair of the least similarity
+    exceeds with a chance of ``SKETCH_MISS`` at most."""
+    n, p, beyond = TREES * DEPTH, (1 - similar / 100) * 0.75, 0.0  # two bits of different values agree in a quarter of the cases
+    for m in range(n, 0, -1):
+        beyond += comb(n, m) * p**m * (1 - p) ** (n - m)
+        if beyond > SKETCH_MISS:
+            return m
+    return 0
+
+
 def _neighbours(similar: int):
     """Rows (tree, key, id, sketch) in order -> pairs of near classes."""
-    j0 = similar / 100 - MARGIN
-    most = int((1 - j0) * 0.75 * TREES * DEPTH)  # two bits of different values agree in a quarter of the cases
+    most = most_differing(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, ids = np.empty(0, np.int32), np.empty(0, np.int64)
