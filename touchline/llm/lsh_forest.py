@@ -12,14 +12,16 @@
 4. Candidates are confirmed on the full sets. Next neighbours of the first
    trees come first; further candidates are confirmed only where they lead
    from one component to another.
+5. Where a shared prefix runs beyond ``REACH`` or over the edge of a task, and
+   its classes are not all of one component yet, an exact join follows: two
+   sets of similarity s share one of the first n - ceil(s n) + 1 of their n
+   shingles in any fixed order. The rarest come first, and a shingle of very
+   many classes is dealt out over blocks of them.
 
-No pair of a group is listed beyond those neighbours, and the chance that a
+So no pair is lost to the density of a region. The chance that a
 pair of similarity 0.8 shares no prefix in any tree is (1 - 0.8**3)**20 < 6e-7.
 Two-bit sketches of the values drop candidates before the exact check, a pair
 of similarity 0.8 with a chance below 1e-7; together that is below 7e-7.
-Two texts of the least similarity that lie in a region of very many that are
-nearly as similar can still miss each other; through any third text that links
-with both they meet all the same.
 """
 
 from __future__ import annotations
@@ -37,9 +39,11 @@ from touchline.llm.shared import bitmap, materialised, may_hold
 from touchline.llm.textbatch import SPACED, Hasher, constants, doc_index, grams, list_column, mix, signed, slices, text_bytes
 
 TREES, DEPTH, SHALLOW, REACH, FIRST_TREES = 20, 8, 3, 12, 3
+HOT = 1000  # classes of a shingle in one block of the exact join
 SKETCH = TREES * DEPTH // 4  # bytes that hold the low two bits of every MinHash value
 SKETCH_MISS = 1e-7  # chance at most that the sketches drop a pair of the least similarity
 DIFFERING = np.array([((b | b >> 1) & 0x55).bit_count() for b in range(256)], np.uint8)  # pairs of bits that are not 00
+PAIR = ["a", "b", "near", "region"]
 _U = np.uint64
 
 
@@ -128,13 +132,24 @@ def most_differing(similar: int) -> int:
     return 0
 
 
+def _unmet(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    region = mix(tree[at].astype(_U) + _U(1))
+    for c in range(SHALLOW):
+        region = mix(region ^ keys[at, c].astype(_U))
+    return pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.bool_()), pa.array(signed(region))], PAIR)
+
+
 def _neighbours(similar: int):
-    """Rows (tree, key, id, sketch) in order -> pairs of near classes."""
+    """Rows (tree, key, id, sketch) in order -> pairs of near classes; and with
+    a null ``b`` the classes and regions (tree and prefix) in which a class may
+    have partners that it does not meet here: more than ``REACH`` places off, or
+    in another task."""
     most = most_differing(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, ids = np.empty(0, np.int32), np.empty(0, np.int64)
         keys, sketch = np.empty((0, DEPTH), ">u4"), np.empty((0, SKETCH), np.uint8)
+        first = 0  # rows at the head of the task so far
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -143,17 +158,24 @@ def _neighbours(similar: int):
             ids = np.concatenate([ids, batch.column("id").to_numpy()])
             keys = np.concatenate([keys, np.frombuffer(text_bytes(batch.column("key"))[0].tobytes(), ">u4").reshape(-1, DEPTH)])
             sketch = np.concatenate([sketch, text_bytes(batch.column("sketch"))[0].reshape(-1, SKETCH)])
-            for j in range(1, REACH + 1):
+            if first <= REACH:
+                yield _unmet(tree, keys, ids, np.arange(min(len(ids), REACH + 1)))
+                first = len(ids)
+            for j in range(1, REACH + 2):
                 if len(ids) <= j:
                     break
                 same = (keys[:-j, :SHALLOW] == keys[j:, :SHALLOW]).all(axis=1) & (tree[:-j] == tree[j:]) & (ids[:-j] != ids[j:])
                 same[: max(0, old - j)] = False  # seen with the batch before
                 at = np.flatnonzero(same)
+                if j > REACH:
+                    yield _unmet(tree, keys, ids, np.union1d(at, at + j))
+                    break
                 at = at[DIFFERING[sketch[at] ^ sketch[at + j]].sum(axis=1, dtype=np.int64) <= most]
                 if len(at):
                     a, b = ids[at], ids[at + j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array((tree[at] < FIRST_TREES) & (j == 1))], ["a", "b", "near"])
-            tree, ids, keys, sketch = tree[-REACH:], ids[-REACH:], keys[-REACH:], sketch[-REACH:]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array((tree[at] < FIRST_TREES) & (j == 1)), pa.nulls(len(at), pa.int64())], PAIR)
+            tree, ids, keys, sketch = tree[-REACH - 1 :], ids[-REACH - 1 :], keys[-REACH - 1 :], sketch[-REACH - 1 :]
+        yield _unmet(tree, keys, ids, np.arange(len(ids)))
 
     return run
 
@@ -172,6 +194,13 @@ def _full_sets(bits: np.ndarray, k: int):
     return run
 
 
+def _sets_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """The sets (node, items) of the texts that ``nodes`` (node) name."""
+    bits = bitmap(nodes.select("node"), "node")
+    sets = docs.mapInArrow(_full_sets(bits, k), "node long, hi long, lo long, items array<long>").join(nodes, "node", "left_semi")
+    return materialised(sets.repartition("node").dropDuplicates(["node", "hi", "lo"]).select("node", "items"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """Pairs whose full sets have 100 * shared >= similar * union."""
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
@@ -179,6 +208,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return both.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * similar).select("a", "b")
 
 
+def _unlinked(unmet: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes (node, component) of the regions that hold several components."""
+    named = unmet.join(found.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = named.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("region")
+    return named.join(mixed, "region", "left_semi").select("node", "component").distinct()
+
+
+def _exact_pairs(sets: DataFrame, similar: int) -> DataFrame:
+    """``sets`` (node, component, items) -> all pairs (a, b) of different
+    components that can have the similarity. A node may have several sets."""
+    sets = sets.withColumn("at", F.monotonically_increasing_id())
+    each = materialised(sets.select("at", "node", "component", F.explode("items").alias("item")))
+    common = each.groupBy("item").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).where("n > 1")
+    placed = each.join(common, "item", "left").groupBy("at", "node", "component").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "item", F.coalesce(F.col("least") < F.col("most"), F.lit(False)).alias("leads")))).alias("items"))
+    size = F.size("items")
+    front = placed.select("node", "component", size.alias("size"), F.posexplode(F.slice("items", F.lit(1), (size - F.ceil(size * similar / 100.0 - 1e-9) + 1).cast("int"))).alias("pos", "x"))
+    front = materialised(front.where("x.leads").select("node", "component", "size", "pos", "x.item", F.ceil(F.col("x.n") / HOT).cast("int").alias("blocks")))
+    own, every = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = front.select("item", own.alias("i"), every.alias("j"), F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"), F.col("pos").alias("pa"))
+    right = front.select("item", every.alias("i"), own.alias("j"), F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"), F.col("pos").alias("pb"))
+    # If this is the first shingle that both have, they share no more than follows it in either.
+    likely = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) * (100 + similar) >= (F.col("na") + F.col("nb")) * similar)
+    return left.join(right, ["item", "i", "j"]).where(likely).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, similar: int = 80) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept.
 
@@ -197,19 +252,23 @@ def near_duplicates(docs: DataFrame, k: int = 4, similar: int = 80) -> DataFrame
     trees = classes.select("id", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
         "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"), "id", "sketch")
     order: list[Column] = [F.col("tree"), F.col("key"), F.col("id")]
-    pairs = trees.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(similar), "a long, b long, near boolean")
-    pairs = materialised(pairs.groupBy("a", "b").agg(F.max("near").alias("near")))
+    pairs = trees.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(similar), "a long, b long, near boolean, region long")
+    met = materialised(pairs.groupBy("a", "b", "region").agg(F.max("near").alias("near")))
+    pairs, unmet = met.where("b is not null").select("a", "b", "near"), met.where("b is null").select(F.col("a").alias("node"), "region")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    bits = bitmap(nodes.select("node"), "node")
-    sets = docs.mapInArrow(_full_sets(bits, k), "node long, hi long, lo long, items array<long>").join(nodes, "node", "left_semi")
-    sets = materialised(sets.repartition("node").dropDuplicates(["node", "hi", "lo"]).select("node", "items"))
+    sets = _sets_of(docs, nodes, k)
     links = materialised(_confirmed(pairs.where("near").select("a", "b"), sets, similar))
     first = materialised(connected_components(links))
     named = lambda c: first.select(F.col("node").alias(c), F.col("component").alias("c" + c))
     rest = pairs.where("not near").select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left")
     rest = rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-    links = links.union(_confirmed(rest, sets, similar))
-    found = connected_components(links)
+    links = materialised(links.union(_confirmed(rest, sets, similar)))
+    found = materialised(connected_components(links))
+    unlinked = materialised(_unlinked(unmet, found))
+    if not unlinked.isEmpty():
+        sets = _sets_of(docs, unlinked, k)
+        more = _confirmed(_exact_pairs(sets.join(unlinked, "node"), similar), sets, similar)
+        found = connected_components(links.union(more))
     # Only classes of several rows or with links need a name other than their own.
     groups = signed_docs.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"))
     groups = groups.join(found.toDF("id", "component"), "id", "left").where("rows > 1 or component is not null")
