@@ -149,6 +149,20 @@ def test_disclosing_terms(spark):
     assert "boss@" not in clean[0].text and "Zanzibar" not in clean[0].text and "common things" in clean[0].text and "[EMAIL]" in clean[0].text
 
 
+def test_disclosing_terms_anywhere(spark):
+    """Far from the identifier, again elsewhere, short, with digits, and of other scripts."""
+    far = "common things are said at some length . " * 5
+    rows = [(i, f"Kim of x7 and 金 {far} boss@corp.example {far} best wishes KIM", "s") for i in range(4)]
+    rows += [(i, f"{far} of x and best wishes {i} boss corp example", "s") for i in range(10, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = by_id(pii_disclosure.pii_report(df).collect())
+    for i in range(4):
+        text = rows[i][1]
+        marked = [text[int(s):int(e)] for k, s, e in (x.split(":") for x in got[i].spans.split(",")) if k == "term"]
+        assert marked == ["Kim", "x7", "金", "KIM"] and got[i].n_term == 4
+    assert all(got[i].spans == "" for i in range(10, 40))
+
+
 def test_ownership(spark):
     live, example = "aB3dE5gH7jK9mN1pQ3sT5vW", "Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2"
     rows = [(1, f"key {live} and {example}", "o1"), (2, f"{example} token=abcdefgh12", "o2"), (3, example, "o3"), (4, "token=abcdefgh12", "o3"), (5, "token=abcdefgh12", "o1"), (6, "password: hunter2hunter2", "o1")]

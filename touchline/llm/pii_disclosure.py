@@ -1,13 +1,13 @@
 """Personal data, and the terms that give it away.
 
 Direct identifiers (email, ip, card, phone) are found by their form. Each
-distinct value is a protected entity. Over the whole corpus, the documents in
-which a term stands near an entity are counted, as are those of the term and of
-the entity. With IC(e) = -log2 p(e) and PMI(t; e) = log2 p(t, e) / (p(t) p(e)),
+distinct value is a protected entity; a term is a run of letters and digits of
+any length. Over the whole corpus, the documents that hold a term and an entity
+are counted, as are those of the term and of the entity, by their whole texts. With IC(e) = -log2 p(e) and PMI(t; e) = log2 p(t, e) / (p(t) p(e)),
 a term discloses the share PMI / IC of what there is to know about the entity;
 1 means that it occurs only with it. Terms whose share reaches ``threshold``
-in at least ``support`` documents are marked near the entity as well, and the
-sanitised text has them removed as it has the identifiers.
+in at least ``support`` documents are marked wherever they stand in a document
+that holds the entity, and the sanitised text has them removed as it has the identifiers.
 
 SQL functions only; no Python runs on the executors.
 """
@@ -28,51 +28,52 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 OCTET = r"^0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
-TERM = r"(?<![\p{L}\p{N}])\p{L}{4,}(?![\p{L}\p{N}])"
-CONTEXT, THRESHOLD, SUPPORT = 64, 0.75, 3
+TERM = r"[\p{L}\p{M}\p{N}]++"
+THRESHOLD, SUPPORT = 0.75, 3
 
 
 def _digits(v: Column) -> Column:
     return F.regexp_replace(v, "[^0-9]", "")
 
 
-def base_spans(text: Column, context: int = 0) -> Column:
+def base_spans(text: Column) -> Column:
     """Spans of the four direct identifiers, kind after kind."""
     octets = lambda v: F.forall(F.split(v, r"\."), lambda x: x.rlike(OCTET))
     card = lambda v: F.length(_digits(v)).between(14, 19) & F.call_function("luhn_check", _digits(v))
     return F.concat(
-        matches(text, EMAIL, "email", 0, text.contains("@"), lambda v: F.lit(True), context=context),
-        matches(text, IP, "ip", 1, text.rlike(r"[0-9]\.[0-9]"), octets, context=context),
-        matches(text, CARD, "card", 2, text.rlike(CARD), card, context=context),
-        matches(text, PHONE, "phone", 3, text.contains("+"), lambda v: F.length(_digits(v)).between(10, 15), context=context),
+        matches(text, EMAIL, "email", 0, text.contains("@"), lambda v: F.lit(True)),
+        matches(text, IP, "ip", 1, text.rlike(r"[0-9]\.[0-9]"), octets),
+        matches(text, CARD, "card", 2, text.rlike(CARD), card),
+        matches(text, PHONE, "phone", 3, text.contains("+"), lambda v: F.length(_digits(v)).between(10, 15)),
     )
 
 
-def _near(side: str, s: Column) -> Column:
-    """Terms around a span with their places in the document."""
-    at = s["start"] - F.length(s["left"]) if side == "left" else s["end"]
-    found = matches(F.lower(s[side]), TERM, "term", 4, F.lit(True), lambda v: F.lit(True))
-    return F.transform(found, lambda t: F.struct(t["value"].alias("term"), (t["start"] + at).cast("int").alias("start"), (t["end"] + at).cast("int").alias("end")))
-
-
 def find_pii(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """``docs`` (doc_id, text) -> row, doc_id, base, terms: the spans of direct
     identifiers and of disclosing terms of every input row, repeated rows too.
     Null and empty texts have none."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    hits = materialised(docs.select("doc_id", base_spans(F.col("text"), CONTEXT).alias("hits")).withColumn("row", F.monotonically_increasing_id()))
-    marked = hits.where("size(hits) > 0").select("row", "hits", F.explode("hits").alias("hit"))
-    near = marked.select("row", "hits", F.concat_ws(":", "hit.kind", F.lower("hit.value")).alias("entity"), F.explode(F.concat(_near("left", F.col("hit")), _near("right", F.col("hit")))).alias("t"))
-    near = near.where(~F.exists("hits", lambda h: (h["start"] < F.col("t.end")) & (F.col("t.start") < h["end"])))
-    near = materialised(near.select("row", F.xxhash64("entity").alias("entity"), F.xxhash64("t.term").alias("term"), "t.start", "t.end"))
-    pairs = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    entities = marked.select("row", F.xxhash64(F.concat_ws(":", "hit.kind", F.lower("hit.value"))).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy(F.xxhash64("term").alias("term")).agg(F.count("*").alias("with_term"))
+    found = docs.select("doc_id", "text", base_spans(F.col("text")).alias("hits"))
+    occurrences = F.transform(matches(F.col("text"), TERM, "term", 4, F.size("hits") > 0, lambda v: F.lit(True)), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.xxhash64(F.lower(t["value"])).alias("term")))
+    entity = lambda h: F.xxhash64(F.concat_ws(":", h["kind"], F.lower(h["value"])))
+    hits = materialised(found.select("doc_id", "hits", F.array_distinct(F.transform("hits", entity)).alias("entities"), occurrences.alias("words")).withColumn("row", F.monotonically_increasing_id()))
     total = F.lit(float(hits.count()))
+    marked = hits.where("size(hits) > 0")
+    held = marked.select("row", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("with_entity")).where((F.col("with_entity") >= support) & (F.col("with_entity") < total))
+    held = materialised(held.join(entities, "entity"))
+    # Distinct terms and entities of a row, counted where they stand: what is shuffled grows with the distinct pairs of a task, not with the rows of a hot entity.
+    row_terms = marked.select("row", F.array_distinct(F.transform("words", lambda t: t["term"])).alias("terms"))
+    row_entities = held.groupBy("row").agg(F.collect_list(F.struct("entity", "with_entity")).alias("entities"))
+    pairs = row_terms.join(row_entities, "row").select("terms", F.explode("entities").alias("e")).select("e.*", F.explode("terms").alias("term"))
+    pairs = pairs.groupBy("entity", "with_entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda v: F.lower(v)))
+    terms = docs.select(F.explode(words).alias("term")).groupBy(F.xxhash64("term").alias("term")).agg(F.count("*").alias("with_term")).where(F.col("with_term") >= support)
     share = (F.log2(total) + F.log2("both") - F.log2("with_entity") - F.log2("with_term")) / (F.log2(total) - F.log2("with_entity"))
-    disclosing = pairs.join(entities, "entity").where(F.col("with_entity") < total).join(terms, "term").where(share >= threshold).select("entity", "term")
-    extra = near.join(disclosing, ["entity", "term"]).groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("terms"))
+    disclosing = pairs.join(terms, "term").where(share >= threshold).select("entity", "term")
+    extra = held.join(disclosing, "entity").groupBy("row").agg(F.collect_set("term").alias("disclosing"))
+    outside = lambda t: ~F.exists("hits", lambda h: (h["start"] < t["end"]) & (t["start"] < h["end"]))
+    extra = marked.select("row", "hits", "words").join(extra, "row").select("row", F.filter("words", lambda t: F.array_contains("disclosing", t["term"]) & outside(t)).alias("terms"))
     base = F.transform("hits", lambda h: F.struct(h["kind"].alias("kind"), h["k"].alias("k"), h["start"].alias("start"), h["end"].alias("end"), h["value"].alias("value")))
     kind = lambda t: F.struct(F.lit("term").alias("kind"), F.lit(4).alias("k"), t["start"].alias("start"), t["end"].alias("end"))
     return hits.select("row", "doc_id", base.alias("base")).join(extra, "row", "left").select(
