@@ -171,6 +171,15 @@ def test_ownership(spark):
     assert got[3].spans == "" and got[2].n_example == 1 and got[2].n_live == 0 and got[6].n_live == 1
 
 
+def test_one_owner_many_repositories(spark):
+    live, example = "aB3dE5gH7jK9mN1pQ3sT5vW", "Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2"
+    rows = [(i, f"key {example} token=abcdefgh12", "o1") for i in range(2000)] + [(5000 + i, f"key {live} token=hunter2hunter2", "o1") for i in range(3)]
+    got = secret_ownership.secret_report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for r in got:
+        own = r.doc_id >= 5000
+        assert ("live:" in r.spans, r.n_live, r.n_example) == (own, int(own), int(not own))
+
+
 # ---------------------------------------------------------------- op4
 def test_toxicity(spark):
     rng = random.Random(4)

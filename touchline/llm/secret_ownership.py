@@ -2,8 +2,8 @@
 
 Candidates are the three base forms and long mixed tokens. Each candidate's
 hash is aggregated over the corpus to the number of distinct owners and of
-distinct repositories that hold it. A value that ``copied`` or more owners hold
-is an example; one that fewer hold looks live. Mixed tokens are no secrets by
+distinct repositories that hold it. A value that ``copied`` or more owners or ``spread``
+or more repositories hold is an example; one that fewer hold looks live. Mixed tokens are no secrets by
 form alone, so only those that look live are added as spans; base spans stay,
 and each is told apart by its verdict.
 
@@ -24,7 +24,7 @@ ACCESS = r"AKIA[A-Z0-9]{12,}+"
 HEX = r"[0-9a-f]{32,}+"
 MIXED = r"(?:\G|(?<![A-Za-z0-9+/_-]))[A-Za-z0-9+/_-]{20,}+"
 KINDS = ("assign", "access", "hex", "live")
-COPIED = 3
+COPIED, SPREAD = 3, 10
 
 
 def _mixed(v: Column) -> Column:
@@ -42,7 +42,7 @@ def candidates(text: Column) -> Column:
     )
 
 
-def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = COPIED) -> DataFrame:
+def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = COPIED, spread: int = SPREAD) -> DataFrame:
     """``docs`` (doc_id, text, and the owner and repository columns) -> row,
     doc_id, hits: for every input row its candidates with the owners and
     repositories that hold the value, and ``live``. A null owner or repository
@@ -56,16 +56,16 @@ def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     # Distinct holders first: what is shuffled per value grows with its holders, not with its copies.
     held = each.select("hash", "owner", "repository").distinct().groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     held = held.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
-    judged = each.join(held, "hash").select("row", F.struct("start", "k", "end", "kind", "owners", "repositories", (F.col("owners") < copied).alias("live")).alias("hit"))
+    judged = each.join(held, "hash").select("row", F.struct("start", "k", "end", "kind", "owners", "repositories", ((F.col("owners") < copied) & (F.col("repositories") < spread)).alias("live")).alias("hit"))
     judged = judged.groupBy("row").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
     return rows.select("row", "doc_id").join(judged, "row", "left").select("row", "doc_id", F.coalesce("hits", F.array()).alias("hits"))
 
 
-def secret_report(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = COPIED) -> DataFrame:
+def secret_report(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied: int = COPIED, spread: int = SPREAD) -> DataFrame:
     """One row per input row: counts and spans of the base forms; ``spans`` with
     the live mixed tokens that no base span covers; n_live base spans that look
     live and n_example that are widely copied."""
-    found = find_secrets(docs, owner, repository, copied)
+    found = find_secrets(docs, owner, repository, copied, spread)
     base = F.filter("hits", lambda h: h["kind"] != "live")
     more = lambda b: F.filter("hits", lambda h: (h["kind"] == "live") & h["live"] & ~F.exists(b, lambda x: (x["start"] < h["end"]) & (h["start"] < x["end"])))
     found = found.withColumn("base", base)
