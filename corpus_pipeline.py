@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's docs. All but the last return the
 columns of ``documents``. doc_id is taken as a key: rows that share one are
-dropped, kept and repeated together.
+dropped, kept and repeated together. Each row without one is judged by itself.
 """
 
 from __future__ import annotations
@@ -13,11 +13,23 @@ from pyspark.sql import functions as F
 
 from touchline.llm import lsh_forest, mixing, token_huffman, toxicity_fm, winnow
 from touchline.llm.queries import table, tokenizer_path
-from touchline.llm.shared import drop_folder, new_folder
+from touchline.llm.shared import drop_folder, materialised, new_folder
 
 TOXIC = 0.7
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """key, row (a struct of all columns): doc_id, or where it is null a number
+    above every doc_id, fixed by a checkpoint of these rows alone."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    top = ids.agg(F.max("id").alias("high"), F.count_if(F.col("id").isNull()).alias("nulls")).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.struct("*").alias("row"))
+    if not top["nulls"]:
+        return rows
+    own = F.lit(max(top["high"] or 0, 0) + 1).cast("long") + F.monotonically_increasing_id()
+    return rows.where("key is not null").unionByName(materialised(rows.where("key is null").select(own.alias("key"), "row")))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score, learned from ``labels``, is below ``TOXIC``."""
     plain = docs.select("doc_id", "text")
@@ -27,21 +39,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of least doc_id."""
-    copies = lsh_forest.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    rows = _keyed(docs)
+    copies = lsh_forest.near_duplicates(rows.select(F.col("key").alias("doc_id"), "row.text")).where("not kept").select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(copies, "key", "left_anti").select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with ``benchmark``."""
-    found = winnow.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    rows = _keyed(docs)
+    found = winnow.contamination(rows.select(F.col("key").alias("doc_id"), "row.text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(found.where("contaminated").select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, once for each time."""
-    times = mixing.mix(docs).groupBy(F.col("doc_id").alias("taken_id")).agg(F.max("times").cast("int").alias("taken_times")).where("taken_times > 0")
-    taken = docs.join(times, docs["doc_id"].eqNullSafe(times["taken_id"]))
-    return taken.withColumn("taken_times", F.explode(F.sequence(F.lit(1), F.col("taken_times")))).select([docs[c] for c in docs.columns])
+    rows = _keyed(docs)
+    times = mixing.mix(rows.select(F.col("key").alias("doc_id"), "row.source", "row.text")).groupBy(F.col("doc_id").alias("key")).agg(F.max("times").cast("int").alias("times")).where("times > 0")
+    return rows.join(times, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

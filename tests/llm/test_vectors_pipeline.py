@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.llm import topk_threshold
 
@@ -75,6 +76,22 @@ def test_stage_edges(spark):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
+def test_rows_without_an_id(spark):
+    """Each is judged by itself."""
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    passage = next(r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if r.text and len(r.text.split()) > 15)
+    copy = " ".join(f"copied{i}" for i in range(60))
+    texts = [passage, copy, copy, copy] + [" ".join(f"own{i}_{j}" for j in range(5 + i)) for i in range(40)]
+    odd = spark.createDataFrame([(t,) for t in texts], "text string")
+    odd = odd.select(*[F.col("text") if c == "text" else F.lit("zz").alias(c) if c == "source" else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    both = docs.unionByName(odd)
+    left = lambda stage: [r.text for r in stage(spark, both, SMALL).collect() if r.doc_id is None]
+    assert sorted(left(p.near_dedup)) == sorted(set(texts))
+    assert sorted(left(p.decontaminate)) == sorted(texts[1:])
+
+
 def test_run(spark):
     import corpus_pipeline as p
 
