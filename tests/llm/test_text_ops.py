@@ -85,6 +85,15 @@ def test_main_text_shapes():
     assert len(m("<article>" + "<p>word, word.</p>" * 20000 + "</article>").split("\n")) == 20000
 
 
+def test_main_text_link_lists():
+    m = html_main.main_text
+    links = "<ul><li><a href=x>First source</a></li><li><a href=y>Second source</a></li></ul>"
+    text = "<p>One, two, three, four, five.</p>"
+    for tag in ("article", "main"):
+        assert m(f"<{tag}>{text}{links}{text}{links}</{tag}>").count("First source\nSecond source") == 2
+    assert "source" not in m(f"<div>{links}{text}</div>")
+
+
 def test_main_text_table(spark):
     rows = [(1, "u", "<p>a, b</p>"), (1, "u", "<p>a, b</p>"), (None, None, None), (2, "v", "")]
     got = html_main.main_texts(clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()

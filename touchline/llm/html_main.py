@@ -181,10 +181,11 @@ def main_text(html: str | None) -> str:
             if page.parent[s] == page.parent[best] and s != best and not page.off[s] and chars[s]:
                 reads = page.tag[s] != "a" and share(s) < 0.25
                 kept[s] = reads and (score[s] >= least or page.tag[s] == page.tag[best] or page.tag[s] in ("p", "pre", "blockquote", "ul", "ol", "dl", "table", "figure", "section") or bool(re.fullmatch("h[1-6]", page.tag[s])))
-    own = kept[:]
+    own, inside = kept[:], page.main[:]
     for i in range(1, n):
         kept[i] = own[i] or kept[page.parent[i]]
-        if page.tag[i] in LISTS and anchors[i] > 1 and share(i) > 0.8:  # a menu by its links
+        inside[i] = inside[i] or inside[page.parent[i]]
+        if not inside[i] and page.tag[i] in LISTS and anchors[i] > 1 and share(i) > 0.8:  # a menu by its links
             kept[i] = False
     return "\n".join(text for at, text, _ in page.blocks if kept[at])
 
