@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat_parts, html_main, lsh_forest, mixing, pii_disclosure, secret_ownership, token_huffman, topk_threshold, toxicity_fm, winnow
+from touchline.llm import chat_parts, html_main, lsh_forest, mixing, periodic_runs, pii_disclosure, prefix_trie, secret_ownership, token_huffman, topk_threshold, toxicity_fm, warc_shards, winnow
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -69,9 +69,22 @@ def op10_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_parts.chat_digests(rows)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), periodic_runs.planted_tail))
+
+
+def op12_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_shards.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), lambda c: c - c % 100, lambda c: F.crc32(c.cast("string").cast("binary")) % 6)
+    return nodes.drop("ref_conv", "ref_place")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_main_text, op2_pii_disclosure, op3_secret_ownership, op4_toxicity_fm, op5_source_mixing, op6_exact_topk, op7_lsh_forest, op8_token_huffman, op9_winnowing, op10_chat_parts)
+    for f in (op1_main_text, op2_pii_disclosure, op3_secret_ownership, op4_toxicity_fm, op5_source_mixing, op6_exact_topk, op7_lsh_forest, op8_token_huffman, op9_winnowing, op10_chat_parts, op11_periodic_runs, op12_warc_shards, op13_prefix_trie)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -127,4 +140,31 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length(head) + length(body) + 17)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id""",
+    "op12_warc_shards": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages), r AS (
+  SELECT page_id, strlen(x) AS n, sha1(x) AS digest, strlen(x) >= 1000 AND row_number() OVER (PARTITION BY x ORDER BY page_id DESC NULLS LAST) > 1 AS again, max(page_id) OVER (PARTITION BY x) AS top FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, if(again, 'revisit', 'response') AS record_type, if(again, top, NULL) AS refers_to FROM r""",
+    # crc32 bit by bit; subtrees by pairs of a path's nodes.
+    "op13_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i, sha256(length(coalesce(role, '')) || chr(10) || coalesce(role, '') || coalesce(text, '')) AS x, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda k: ord(substr(conv_id::VARCHAR, k::INT, 1))::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda z: 0::BIGINT)), lambda v, w: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, i, x, chars FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND i <= h
+  UNION ALL SELECT c.conv_id, i + h, x, chars FROM c JOIN t ON t.conv_id = c.conv_id AND i > h
+), m AS (
+  SELECT conv_id, row_number() OVER w AS depth, sha256(string_agg(x, '') OVER w) AS node, chars FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c
+), n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM m GROUP BY node, depth),
+e AS (SELECT DISTINCT a.node AS up, b.node AS node FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.depth = a.depth + 1),
+s AS (SELECT DISTINCT a.node AS up, b.node AS node FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sub AS (SELECT s.up AS node, sum((n_convs - 1) * chars)::BIGINT AS saved, count(*) FILTER (s.node NOT IN (SELECT up FROM e)) AS leaves FROM s JOIN n ON n.node = s.node GROUP BY s.up),
+z AS (SELECT m.node, string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) AS ids FROM m JOIN (SELECT conv_id, max(depth) AS depth FROM m GROUP BY 1) l ON l.conv_id = m.conv_id AND l.depth = m.depth GROUP BY m.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, (SELECT count(*) FROM e WHERE e.up = n.node) AS n_children, leaves AS n_leaves, saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM n JOIN sub ON sub.node = n.node LEFT JOIN e ON e.node = n.node LEFT JOIN n p ON p.node = e.up LEFT JOIN z ON z.node = n.node""",
 }

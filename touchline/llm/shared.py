@@ -29,6 +29,20 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_join(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``groups`` (one row a ``key``, which stands for
+    ``size`` rows), also where one key holds a third of all rows. The groups of
+    more than a 256th part, 256 at most, are broadcast; only the rows of the
+    others are shuffled. ``size`` is dropped; ``groups`` is read twice."""
+    groups = materialised(groups)
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = groups.where(F.col(size) > F.lit(total / 256)).drop(size)
+    keys = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+    marked = rows.join(keys, key, "left")
+    common = marked.where("_hot is null").drop("_hot").join(groups.where(F.col(size) <= F.lit(total / 256)).drop(size), key, how)
+    return common.unionByName(marked.where("_hot").drop("_hot").join(F.broadcast(hot), key))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
