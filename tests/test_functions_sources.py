@@ -216,3 +216,65 @@ def test_positions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id")).repartition(7)
     got = {r["id"]: r["position"] for r in R.positions(df.orderBy("id")).collect()}
     assert got == {i: i + 1 for i in range(1000)}
+
+
+def names_and_minutes(spark, html):
+    return [(r["player"], r["minutes"]) for r in E.player_match_rows(page(spark, html)).collect()]
+
+
+@pytest.mark.parametrize("html", [
+    "<div id=all_player_stats_1><table class=stats_table><tbody><tr><th data-stat=player>Ann</th><td data-stat=minutes>90</td></tr></tbody></table></div>",
+    "<DIV ID='all_player_stats_1'><TABLE CLASS='x stats_table'><TBODY><TR><TH DATA-STAT='player'>Ann</TH><TD DATA-STAT='minutes'>90</TD></TR></TBODY></TABLE></DIV>",
+    '<div id="all_player_stats_1"><table class="stats_table"><thead><tr><th>x<tbody><tr><th data-stat="player">Ann<td data-stat="minutes">90<tr class="thead"><th data-stat="player">Player</table></div>',
+    '<div id="all_player_stats_1"><table class="stats_table"><tr><th title="a>b" data-stat="player" data-x=\'"\'>Ann</th><td data-stat = "minutes">90</td></tr></table>',
+    '<div id="all_player_stats_1"><table class="stats_table"><tbody><tr><th data-stat="player"><div><b>A</b>nn</div></th><td data-stat="minutes"><table><tr><td>9</td></tr></table>0</td><td data-stat="minutes">1</td></tr></table></div>',
+    '<script>var x = "<div id=all_player_stats_0><table class=stats_table><tr><th data-stat=player>No"</script><div id="all_player_stats_1"><table class="stats_table"><!-- <tr><th data-stat="player">No --><tr><th data-stat="player">A<!-- x -->nn</th><td data-stat="minutes">90',
+])
+def test_liberties_of_html(spark, html):
+    """Quotes or none, either case, end tags left out, > in an attribute, nested tables, comments and scripts."""
+    assert names_and_minutes(spark, html) == [("Ann", 90)]
+
+
+def test_character_references(spark):
+    html = "<div id='all_player_stats_1'>" + player_table("T &amp; U", "O&apos;Brien", "Ko&ccaron;a", "A&eacuteB", "&#150;x&#x96;", "&nosuch;", "&#0;y") + "</div>"
+    rows = E.player_match_rows(page(spark, html)).collect()
+    assert [r["player"] for r in rows] == ["O'Brien", "Ko\u010da", "A\u00e9B", "\u2013x\u2013", "&nosuch;", "\ufffdy"]
+    assert {r["team_name"] for r in rows} == {"T & U"}
+
+
+def test_page_is_read_in_linear_time(spark):
+    import time
+
+    row = "<tr><th data-stat='player'><div><a href='/en/players/p1/A-B'>x</a></div></th><td data-stat='minutes'>1</td></tr>"
+    html = "<div id='all_player_stats_1'>" + "<div>" * 20_000 + "</div>" * 20_000 + f"<table class='stats_table'><tbody>{row * 20_000}</tbody></table></div>"
+    t = time.time()
+    assert E.outfield_rows(page(spark, html)).count() == 20_000
+    assert time.time() - t < 60
+
+
+def test_first_accepted_row_of_a_data_row(spark):
+    """X4 after X5 and X6: an empty or coming match does not hide a later row; places and tables in order; rows without id stay."""
+    def row(i, date, home):
+        return f"<tr data-row='{i}'><td data-stat='date'>{date}</td><td data-stat='home_team'>{home}</td></tr>"
+
+    rows = row(1, "2999-01-01", "later") + row(1, "2021-01-01", "a") + row(1, "2021-01-02", "b") + row(2, "", "") + row(2, "2021-01-03", "c") + "<tr><td data-stat='date'>2021-01-04</td></tr>" * 2
+    table = f"<table class='stats_table'><tbody>{rows}</tbody><tbody>{row(1, '2021-01-05', 'd')}</tbody></table>"
+    got = E.schedule_rows(page(spark, f"<div id='all_sched'>{table}{table}</div>"), as_of="2026-01-01").collect()
+    assert sorted((r["date"], r["home_team"]) for r in got) == [("2021-01-01", "a"), ("2021-01-03", "c")] + [("2021-01-04", None)] * 4
+
+
+def test_keepers_of_the_same_page(spark):
+    """R1 in the page: a player with two keeper rows is there twice, those without link find the keepers without link."""
+    def row(name, link, more=""):
+        who = f"<a href='/en/players/{link}/x'>{name}</a>" if link else name
+        return f"<tr><th data-stat='player'>{who}</th>{more}</tr>"
+
+    def table(kind, rows):
+        return f"<div id='all_{kind}_stats_1'><table class='stats_table'><tbody>{rows}</tbody></table></div>"
+
+    saves = "<td data-stat='gk_saves'>{}</td>"
+    html = table("player", row("A", "a1") + row("B", None) + row("C", "c1")) + table("keeper", row("A", "a1", saves.format(3)) + row("A", "a1", saves.format("x")) + row("K", None, saves.format(5)))
+    got = sorted((r["player_id"] or "", r["gk_saves"]) for r in E.player_match_rows(page(spark, html)).collect())
+    assert got == [("", 5.0), ("a1", 0.0), ("a1", 3.0), ("c1", 0.0)]
+    other = page(spark, html).withColumn("url", F.lit("https://x/none"))
+    assert {r["gk_saves"] for r in E.player_match_rows(other).collect()} == {0.0}
