@@ -278,3 +278,101 @@ def test_keepers_of_the_same_page(spark):
     assert got == [("", 5.0), ("a1", 0.0), ("a1", 3.0), ("c1", 0.0)]
     other = page(spark, html).withColumn("url", F.lit("https://x/none"))
     assert {r["gk_saves"] for r in E.player_match_rows(other).collect()} == {0.0}
+
+
+def test_numbers_of_a_hot_key(spark):
+    """Half of the rows have one (null) key: numbered in order, and no partition of the sort holds more than its share."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 97).alias("k"), (F.col("id") * 7919 % 40_009).alias("x"))
+    rows = R.numbered(df.repartition(8), ["k"], ["x"], "n")
+    want = df.selectExpr("k", "x", "row_number() over (partition by k order by x) as n")
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    parts = df.repartitionByRange(8, "k", "x").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 3 * 40_000 / 8
+
+
+def test_join_of_groups_with_a_hot_and_a_null_key(spark):
+    from touchline.operators.keys import join_unique
+
+    rows = spark.range(3000).select(F.when(F.col("id") > 1000, F.lit("h")).when(F.col("id") > 500, F.col("id").cast("string")).alias("k"), (F.col("id") % 3).alias("j"))
+    groups = rows.groupBy("k", "j").agg(F.count(F.lit(1)).alias("n"), F.concat_ws("-", F.first("k"), F.first("j").cast("string")).alias("name"))
+    got = join_unique(rows, groups, ["k", "j"], "n")
+    assert got.count() == 3000 and got.columns == ["k", "j", "name"]
+    assert got.filter(~F.concat_ws("-", "k", F.col("j").cast("string")).eqNullSafe(F.col("name"))).count() == 0
+
+
+def test_csv_line_breaks_over_splits(spark, tmp_dir):
+    """Quoted fields with line breaks, doubled quotes and the header's own text come back whole, however the files are split."""
+    rows = [(f"p{i}", "m", "a\n" * (i % 5) + '"q", \r\n' + "x" * (i * 37 % 400), str(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "player_id string, season string, player string, goals string")
+    S.write_partitioned(df, f"{tmp_dir}/c", ["season"])
+    want = sorted((p, x, g) for p, _, x, g in rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "4k", "300"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = S.read_csv_by_name(spark, f"{tmp_dir}/c", ["player_id", "player", "goals"])
+            assert sorted(map(tuple, got.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_headers_in_one_scan(spark, tmp_dir):
+    write(f"{tmp_dir}/h/season_id=s1/a.csv", "player_id,goals\r\np1,1\r\n\r\n\"p2\",\"\"\r\n")
+    write(f"{tmp_dir}/h/season_id=s2/b.csv", "goals,tackles_wom,player_id\n5,6,p3\n7\n")
+    write(f"{tmp_dir}/h/season_id=s2/c.csv", "")
+    df = S.read_csv_by_name(spark, f"{tmp_dir}/h", ["player_id", "goals", "tackles_won", "season_id"])
+    assert sorted(map(tuple, df.collect()), key=str) == [("p1", "1", None, "s1"), ("p2", None, None, "s1"), ("p3", "5", "6", "s2"), (None, "7", None, "s2")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan text") == 1 and "SortMergeJoin" not in plan
+
+
+def test_unreadable_files_are_reported(spark, tmp_dir):
+    import gzip
+
+    write(f"{tmp_dir}/u/good.csv", "season_id,url\ns1,u1\n")
+    with gzip.open(f"{tmp_dir}/u/whole.csv.gz", "wb") as f:
+        f.write(b"season_id,url\ns2,u2\n")
+    data = gzip.compress(b"season_id,url\n" + b"".join(b"x%d,%d\n" % (i, i * i) for i in range(20_000)))
+    with open(f"{tmp_dir}/u/cut.csv.gz", "wb") as f:
+        f.write(data[: len(data) // 2])
+    with open(f"{tmp_dir}/u/latin.csv", "wb") as f:
+        f.write(b"season_id,url\ns3,caf\xe9\n")
+    assert sorted(r["season_id"] for r in S.load_season_dims(spark, f"{tmp_dir}/u").collect()) == ["s1", "s2"]
+    report = {os.path.basename(r["file"]): r["reason"] for r in S.unreadable_files(spark, f"{tmp_dir}/u").collect()}
+    assert set(report) == {"cut.csv.gz", "latin.csv"} and report["latin.csv"] == "not UTF-8" and "gzip" in report["cut.csv.gz"]
+
+
+def test_placeholder_ids_on_load(spark, tmp_dir):
+    write(f"{tmp_dir}/p/a.csv", "match_id,season_id,home_team\nnan,s1,nan\n<NA>,None,b\nm1,s1,c\n")
+    rows = sorted((r["home_team"], r["match_id"], r["season_id"]) for r in S.load_match_stats(spark, f"{tmp_dir}/p").collect())
+    assert rows == [("b", None, None), ("c", "m1", "s1"), ("nan", None, "s1")]
+
+
+DATE_LAYOUTS = """%Y-%m-%d|%Y/%m/%d|%Y.%m.%d|%Y %m %d|%Y-{m}-{d}|%Y/{m}/{d}|%Y.{m}.{d}|%m/%d/%Y|{m}/{d}/%Y|%m-%d-%Y|{m}-{d}-%Y|%m.%d.%Y|%d/%m/%Y|%d-%m-%Y|%d.%m.%Y|%m/%d/%y|{m}/{d}/%y
+%Y%m%d|%y%m%d|%B %d, %Y|%B {d}, %Y|%b %d, %Y|%b {d}, %Y|%b {d} %Y|%B {d} %Y|%d %B %Y|{d} %B %Y|%d %b %Y|{d} %b %Y|{d} %b, %Y|%d-%b-%Y|{d}-%b-%Y|%d-%B-%Y|%d/%b/%Y|%d%b%Y|{d}%b%Y|%b-%d-%Y|%b/%d/%Y
+%Y-%b-%d|%Y %b {d}|%Y %B {d}|%Y-%B-%d|%B %Y|%b %Y|%b-%Y|%Y-%m|%m/%Y|%Y/%m|%Y %B|%Y|%A, %B {d}, %Y|%a, %d %b %Y|%a %b {d} %Y|%A {d} %B %Y|%a %d/%m/%Y|%A, {d} %B %Y|{d}th %B %Y|%B {d}th, %Y
+{d}th of %B %Y|%d %b %y|%b {d}, '%y|%b {d} %y|%d-%b-%y|%Y-%m-%d %H:%M|%Y-%m-%dT%H:%M:%S|%Y-%m-%dT%H:%M:%SZ|%Y-%m-%d %H:%M:%S.%f|%Y-%m-%d %H:%M:%S+00:00|%Y%m%dT%H%M%S|%m/%d/%Y %H:%M
+%m/%d/%Y %I:%M %p|%B {d}, %Y %I:%M %p|%b {d}, %Y at %H:%M|%a, %d %b %Y %H:%M:%S GMT|%H:%M %d %b %Y|%b. {d}, %Y|%d. %B %Y|%d %m %Y|%A|TBD|%b {d}|{d} %b|foo %Y-%m-%d|%Y-%m-%d foo|Postponed|%Y-%d-%m
+31/31/%Y|%Y-02-30|%b 32, %Y|%d %b %Y %b|1 2 3 4|""".replace("\n", "|").split("|")
+
+
+def test_dates_as_pandas_reads_them(spark):
+    import datetime as dt
+    import warnings
+
+    import pandas as pd
+
+    assert len(DATE_LAYOUTS) > 90
+    want = {}
+    for layout in DATE_LAYOUTS:
+        for y, m, d in ((2021, 3, 7), (2019, 12, 25), (2024, 2, 29), (2020, 10, 11)):
+            text = dt.datetime(y, m, d, 19, 30, 5).strftime(layout.replace("{m}", str(m)).replace("{d}", str(d)))
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                value = pd.to_datetime(text, errors="coerce")
+            want[text] = None if pd.isna(value) else value.date()
+    got = dict(spark.createDataFrame([(t,) for t in want], "t string").select("t", X.try_parse_date("t")).collect())
+    assert {t: (got[t], v) for t, v in want.items() if got[t] != v} == {}
+    assert spark.createDataFrame([(None,)], "t string").select(X.try_parse_date("t")).first()[0] is None

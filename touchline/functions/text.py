@@ -149,30 +149,74 @@ def notes_skip(c) -> Column:
 
 
 # N9
-# Layouts tried in turn on the date part of a text, after commas, ordinal
-# endings and a leading weekday are gone. Ambiguous numbers are month first;
-# a first number above 12 is a day.
-DATE_FORMATS = ["yyyyMMdd", "yyyy/M/d", "yyyy.M.d", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy",
-                "d MMMM yyyy", "d MMM yyyy", "MMMM d yyyy", "MMM d yyyy", "d-MMM-yyyy", "d-MMMM-yyyy", "yyyy-MMM-d",
-                "yyyy MMM d", "yyyy MMMM d", "M/d/yy"]
-WEEKDAY = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*[., ]+"
-ORDINAL = r"(?i)\b([0-9]{1,2})(?:st|nd|rd|th)\b"
-TIME_PART = r"(?i)[T ]+[0-9]{1,2}:[0-9]{2}.*$"
-
-
-def _date_part(s: Column) -> Column:
-    """The date of a text alone, one space between its parts."""
-    out = F.regexp_replace(F.regexp_replace(s, TIME_PART, ""), WEEKDAY, "")
-    out = F.regexp_replace(F.regexp_replace(out, ORDINAL, "$1"), r"\s*[, ]\s*", " ")
-    return F.replace(strip(out), F.lit("Sept "), F.lit("Sep "))
+# A date is read by its tokens, not by layouts: numbers by their width, month
+# names, separators; clocks, zones, weekdays, ordinal endings and fillers go.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+DATE_FILLERS = ["of", "on", "at", "and", "ad", "t"]
+CLOCK = (r"(?:(?<=[0-9])t|\bt|\bat|\s|^)\s*[0-9]{1,2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?(?:\s*[ap]\.?m\b\.?)?|\s*[ap]\.?m\b\.?)"
+         r"(?:\s*(?:z|utc|gmt)\b|\s*[+-][0-9]{2}:?[0-9]{2}\b)*|(?<=[0-9]{8})t[0-9]{4,6}z?$")
+WEEKDAY = r"\b(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\b"
+ORDINAL = r"([0-9])(?:st|nd|rd|th)\b"
+TOKEN = r"[0-9]+|[a-z]+|[^0-9a-z\s]"
+
+
+def _date_tokens(s: Column) -> Column:
+    """Numbers, months (as ``m`` and their number), and whatever else is no filler."""
+    low = F.regexp_replace(F.lower(s), CLOCK, " ")
+    low = F.regexp_replace(F.regexp_replace(low, ORDINAL, "$1"), WEEKDAY, " ")
+    names = [(name[:k], i + 1) for i, name in enumerate(MONTHS) for k in {3, len(name)}] + [("sept", 9)]
+    number = F.create_map(*[F.lit(x) for name, i in names for x in (name, f"m{i}")])
+    tokens = F.transform(F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0)), lambda w: F.coalesce(F.element_at(number, w), w))
+    return F.filter(tokens, lambda w: ~w.isin(*DATE_FILLERS, ".", ",", ";", "-", "/", "'"))
+
+
+def _resolved_date(tokens: Column) -> Column:
+    """The date of up to three tokens, by what each can be: a month by its name;
+    a year by four digits or a value above 31; of two other numbers the month
+    first, unless it is above 12; a day that is not there is the first."""
+    def part(i: int) -> Column:
+        w = F.get(tokens, F.lit(i))
+        month = w.startswith("m")
+        n = F.when(month, F.substr(w, F.lit(2))).otherwise(w).try_cast("int")
+        return F.struct(n.alias("n"), F.coalesce(month, F.lit(False)).alias("month"), (~month & ((F.length(w) > 2) | (n > 31))).alias("year"), w.alias("w"))
+
+    now = F.year(F.current_date())
+    near = lambda y: y["n"] + F.when(y["year"] & (F.length(y["w"]) > 2), 0).otherwise(  # noqa: E731  of two digits, the year within fifty of this one
+        F.floor(now / 100) * 100 + F.when(y["n"] + F.floor(now / 100) * 100 >= now + 50, -100).when(y["n"] + F.floor(now / 100) * 100 < now - 50, 100).otherwise(0))
+    text = lambda y, m, d: F.when((m < 13) & (d < 32), F.format_string("%04d-%02d-%02d", y.cast("int"), m, d))
+    one = F.lit(1)
+
+    def swapped(y: Column, a: Column, b: Column) -> Column:
+        """Month and day in this order, unless the first can be no month."""
+        other = (a["n"] > 12) & (b["n"] <= 12)
+        return text(near(y), F.when(other, b["n"]).otherwise(a["n"]), F.when(other, a["n"]).otherwise(b["n"]))
+
+    def resolve(p: Column) -> Column:
+        a, b, c, size = p["a"], p["b"], p["c"], p["size"]
+        w = a["w"]
+        digits = lambda at, n: F.substr(w, F.lit(at), F.lit(n)).try_cast("int")
+        short = [F.struct(digits(k, 2).alias("n"), F.lit(False).alias("year"), w.alias("w")) for k in (1, 3, 5)]  # six digits are three numbers
+        six = F.when(short[0]["n"] > 31, swapped(*short)).otherwise(swapped(short[2], *short[:2]))
+        single = F.when(F.length(w) == 8, text(digits(1, 4), digits(5, 2), digits(7, 2))).when(F.length(w) == 6, six).when(F.length(w) == 4, text(a["n"], one, one))
+        pair = F.when(a["month"] & b["year"], text(near(b), a["n"], one)).when(b["month"] & a["year"], text(near(a), b["n"], one)).when(
+            ~a["month"] & ~b["month"] & (F.length(a["w"]) == 4), text(a["n"], b["n"], one)).when(~a["month"] & ~b["month"] & (F.length(b["w"]) == 4), text(b["n"], a["n"], one))
+        named = F.when(a["month"], F.when(b["year"], text(near(b), a["n"], c["n"])).otherwise(text(near(c), a["n"], b["n"]))).when(
+            b["month"], F.when(a["year"], text(near(a), b["n"], c["n"])).otherwise(text(near(c), b["n"], a["n"]))).otherwise(
+            F.when(b["year"], text(near(b), c["n"], a["n"])).otherwise(text(near(a), c["n"], b["n"])))
+        months = a["month"].cast("int") + b["month"].cast("int") + c["month"].cast("int")
+        plain = F.when(a["year"], swapped(a, b, c)).when(~b["year"], swapped(c, a, b))
+        return F.when(size == 1, F.when(~a["month"], single)).when(size == 2, pair).when(size == 3, F.when(months == 1, named).when(months == 0, plain))
+
+    parts = F.struct(part(0).alias("a"), part(1).alias("b"), part(2).alias("c"), F.size(tokens).alias("size"))
+    known = F.forall(tokens, lambda w: w.rlike("^m?[0-9]{1,8}$"))
+    return F.when(known & (F.size(tokens) <= 3), let(parts, resolve).try_cast("date"))
 
 
 def try_parse_date(c) -> Column:
-    """Tolerant date parse: ISO first, then the common layouts; else NULL."""
+    """Tolerant date parse by tokens; what is no date gives NULL. A date in ISO
+    form alone, as nearly all are, is cast at once."""
     s = strip(c)
-    iso = s.try_cast("date")
-    others = let(_date_part(s), lambda part: F.coalesce(*[F.try_to_date(part, f) for f in DATE_FORMATS]))
-    return F.when(s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), iso).otherwise(others)
+    return F.when(s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), s.try_cast("date")).otherwise(let(_date_tokens(s), _resolved_date))
 
 
 # N10

@@ -17,7 +17,7 @@ from touchline.operators.keys import spread_null
 from touchline.operators.player_season import SEASON_RANKS, SEASON_TOTALS, age_summary, minutes_by_position
 from touchline.operators.player_season import position_summary, totals_and_ranks
 from touchline.operators.running import RUNNING_COLUMNS
-from touchline.operators.sequence import GRAIN_KEY, partition_by_grain
+from touchline.operators.sequence import GRAIN_KEY
 from touchline.operators.sides import distinct_teams
 from touchline.operators.standings import STANDINGS
 from touchline.plans.match_level_player import attach_match_context
@@ -89,7 +89,7 @@ FROM raw""")
 def q_nationality_code(spark, sf_dir):
     """Country code = last upper-case token of >= 2 characters, else the last token."""
     s = shim.read_table(spark, sf_dir, "supplier")
-    n = F.broadcast(shim.read_table(spark, sf_dir, "nation"))  # fixed 25-row dimension
+    n = shim.read_table(spark, sf_dir, "nation")
     j = s.join(n, s.s_nationkey == n.n_nationkey)
     name = F.col("n_name")
     raw = (F.when(F.col("s_suppkey") % 4 == 0, F.concat(F.lower(F.substr(name, F.lit(1), F.lit(2))), F.lit(" "), name))
@@ -129,19 +129,22 @@ def q_notes_skip(spark, sf_dir):
                       X.notes_skip("notes").alias("skip_player_capture"))
 
 
-@register("date_parse", """
-SELECT o_orderkey,
-  CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
-    WHEN 2 THEN 'TBD ' || CAST(o_orderkey AS VARCHAR) WHEN 3 THEN strftime(o_orderdate, '%b %-d, %Y')
-    WHEN 4 THEN strftime(o_orderdate, '%Y%m%d') ELSE strftime(o_orderdate, '%A, %-d %B %Y') END AS date_text,
-  CASE WHEN o_orderkey % 6 <> 2 THEN CAST(o_orderdate AS DATE) END AS match_date
+# (layout of Spark, of DuckDB) of the texts that are parsed again; of the one without a day the first.
+_LAYOUTS = [("yyyy-MM-dd", "%Y-%m-%d"), ("MM/dd/yyyy", "%m/%d/%Y"), (None, None), ("MMM d, yyyy", "%b %-d, %Y"), ("yyyyMMdd", "%Y%m%d"), ("EEEE, d MMMM yyyy", "%A, %-d %B %Y"),
+            ("yyyy-M-d", "%Y-%-m-%-d"), ("ddMMMyyyy", "%d%b%Y"), ("MMMM yyyy", "%B %Y"), ("d.M.yyyy", "%-d.%-m.%Y"), ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT%H:%M:%S"), ("MMM d yyyy", "%b %-d %Y")]
+_DATE_TEXT = " ".join(f"WHEN {i} THEN strftime(o_orderdate, {q(f)})" for i, (_, f) in enumerate(_LAYOUTS) if f)
+
+
+@register("date_parse", f"""
+SELECT o_orderkey, CASE o_orderkey % {len(_LAYOUTS)} {_DATE_TEXT} ELSE 'TBD ' || CAST(o_orderkey AS VARCHAR) END AS date_text,
+  CASE o_orderkey % {len(_LAYOUTS)} WHEN 2 THEN NULL WHEN 8 THEN CAST(date_trunc('month', o_orderdate) AS DATE)
+    WHEN 9 THEN if(day(o_orderdate) <= 12, make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)), CAST(o_orderdate AS DATE)) ELSE CAST(o_orderdate AS DATE) END AS match_date
 FROM orders""")
 def q_date_parse(spark, sf_dir):
-    """Tolerant date parse (unparsable -> NULL)."""
-    layouts = ["yyyy-MM-dd", "MM/dd/yyyy", None, "MMM d, yyyy", "yyyyMMdd", "EEEE, d MMMM yyyy"]
-    k = F.col("o_orderkey") % len(layouts)
+    """Tolerant date parse (unparsable -> NULL); of two numbers that may be months the first is."""
+    k = F.col("o_orderkey") % len(_LAYOUTS)
     txt = F.concat(F.lit("TBD "), F.col("o_orderkey").cast("string"))
-    for i, layout in enumerate(layouts):
+    for i, (layout, _) in enumerate(_LAYOUTS):
         if layout:
             txt = F.when(k == i, F.date_format("o_orderdate", layout)).otherwise(txt)
     o = shim.read_table(spark, sf_dir, "orders")
@@ -300,10 +303,8 @@ def _dedup_rows(spark, sf_dir):
     from touchline.plans.match_level_player import MATCH_CONTEXT
     from touchline.schemas import PLAYER_COLUMNS
 
-    base = _player_base(spark, sf_dir)
-    return (partition_by_grain(base, ["player_id", "season_id"], "match_date")
-            .dropDuplicates(PLAYER_COLUMNS + MATCH_CONTEXT + [GRAIN_KEY])
-            .withColumn("age_numeric", X.age_numeric("age")))
+    base = _player_base(spark, sf_dir).select(*PLAYER_COLUMNS, *MATCH_CONTEXT)
+    return base.distinct().withColumn("age_numeric", X.age_numeric("age"))
 
 
 @register("player_season_age", sql(O.player_ctes(), """
@@ -320,7 +321,7 @@ SELECT DISTINCT player_id, season_id, team_name, player,
 FROM match_level_player_data"""))
 def q_player_season_totals(spark, sf_dir):
     """Season totals per player-season-team and their dense ranks within the team."""
-    return totals_and_ranks(_dedup_rows(spark, sf_dir))
+    return totals_and_ranks(_dedup_rows(spark, sf_dir)).drop("_rows")
 
 
 @register("appearance_number", sql(O.player_ctes(), """
@@ -474,17 +475,18 @@ def q_table_counts(spark, sf_dir):
 
 # ============================================================ CSV raw layer
 @register("csv_raw_roundtrip", sql(PLAYERS, """
-SELECT p.* REPLACE (CASE WHEN m.season_id = '73_1995' THEN NULL ELSE p.lineup_status END AS lineup_status)
+SELECT p.* REPLACE (CASE WHEN m.season_id = '73_1995' THEN NULL ELSE p.lineup_status END AS lineup_status, p.position || chr(10) || '"x", ' AS position)
 FROM player_match_stats p LEFT JOIN match_stats m ON p.match_id = m.match_id"""))
 def q_csv_raw_roundtrip(spark, sf_dir):
     """S9 per-season CSV sink, then S2/S14/S5 read back by header group.
 
     Files of the first season are written as an older capture would have
     written them: ``tackles_wom`` for ``tackles_won`` and no ``lineup_status``
-    column. The files go to the shared checkpoint folder.
+    column. Positions hold a line break, quotes and a blank at the end. The
+    files go to the shared checkpoint folder.
     """
     path = _new_folder(spark, "csv_raw")
-    pms = shim.player_match_stats(spark, sf_dir)
+    pms = shim.player_match_stats(spark, sf_dir).withColumn("position", F.concat("position", F.lit('\n"x", ')))
     ms = shim.match_stats(spark, sf_dir).select(F.col("match_id").alias("_m"), "season_id")
     keyed = pms.withColumn("_match", spread_null(pms, "match_id")).join(ms, F.col("_match") == F.col("_m"), "left").drop("_match", "_m")
     old_season = F.col("season_id") == "73_1995"

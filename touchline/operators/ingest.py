@@ -17,9 +17,9 @@ from pyspark.sql.window import Window
 
 from touchline.functions import text as X
 from touchline.functions.ordering import asc
-from touchline.operators.keys import spread_null
+from touchline.operators.keys import join_unique, spread_null
 from touchline.schemas import GK_COLUMNS, SCHEDULE_REQUIRED
-from touchline.session import cut_lineage
+from touchline.session import written_once
 
 
 # R1
@@ -86,14 +86,27 @@ def sort_by_season_date(df: DataFrame, col: str = "date", tiebreak=()) -> DataFr
 
 def positions(ordered: DataFrame, out: str = "position") -> DataFrame:
     """Number the rows of a globally sorted frame from 1, by an offset for each
-    sorted partition. Materialised once, so that numbers and offsets agree."""
+    sorted partition. Written once as a table, so that numbers and offsets
+    agree, also after an executor is lost; whoever reads few columns reads them
+    alone. A run of equal keys of any length is spread over many tasks."""
     # The id holds the partition above bit 33 and the row's place in it below.
-    rows = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    rows = written_once(ordered.withColumn("_id", F.monotonically_increasing_id()), "positions")
     part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.withColumn("_part", part).join(sizes, "_part").select(*ordered.columns, (F.col("_before") + place + 1).alias(out))
+    # A row for each partition of the sort: as many as there were tasks.
+    return rows.withColumn("_part", part).join(F.broadcast(sizes), "_part").select(*ordered.columns, (F.col("_before") + place + 1).alias(out))
+
+
+def numbered(df: DataFrame, keys: list[str], order: list, out: str) -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` where one key may
+    hold any share of the rows: by range over (keys, order), a row's number is
+    its position less the first one of its key."""
+    by = [*map(asc, keys), *[asc(c) if isinstance(c, str) else c for c in order]]
+    rows = positions(df.repartitionByRange(*by).sortWithinPartitions(*by), "_position")
+    first = rows.groupBy(*keys).agg(F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    return join_unique(rows, first, keys, "_rows").withColumn(out, F.col("_position") - F.col("_first") + 1).drop("_position", "_first")
 
 
 # R5
@@ -107,8 +120,7 @@ def work_list(matches: DataFrame, url_col: str = "match_url", date_col: str = "d
     """
     notes = F.col("notes") if "notes" in matches.columns else F.lit(None).cast("string")
     keep = matches.filter(~X.notes_skip(notes) & F.col(url_col).isNotNull() & F.col(date_col).isNotNull())
-    w = Window.partitionBy("season_id", date_col).orderBy(asc(url_col))
-    return keep.select("season_id", date_col, url_col).withColumn("url_seq", F.row_number().over(w))
+    return numbered(keep.select("season_id", date_col, url_col), ["season_id", date_col], [url_col], "url_seq")
 
 
 # R6

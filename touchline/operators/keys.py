@@ -1,10 +1,12 @@
-"""Join keys without hot NULLs."""
+"""Join keys without hot NULLs, and joins of which one key may hold most rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import written_once
+
 
 def spread_null(df: DataFrame, column: str) -> Column:
     """``column`` for the preserved side of an outer equi-join, with NULLs as
@@ -14,3 +16,22 @@ def spread_null(df: DataFrame, column: str) -> Column:
     all be shuffled into one partition.
     """
     return F.coalesce(F.col(column), F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string")))
+
+
+def join_unique(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of ``groups``, which has one row for each of their
+    keys (NULLs are keys like others) and the number of its rows in ``size``.
+
+    Groups of more than a 256th part of all rows, 256 at most, are broadcast;
+    their rows are not shuffled, so no task gets a hot key. The groups are
+    written once, as three steps read them.
+    """
+    groups = written_once(groups, "groups")
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    struct = F.struct(*[F.col(c) for c in keys])
+    g = groups.select(struct.alias("_jk"), *[c for c in groups.columns if c not in (*keys, size)], (F.col(size) > total / 256).alias("_hot"))
+    hot, common = (g.filter(c).drop("_hot") for c in (F.col("_hot"), ~F.col("_hot")))
+    keyed = rows.withColumn("_jk", struct)
+    is_hot = keyed.join(F.broadcast(hot.select("_jk", F.lit(True).alias("_hot"))), "_jk", "left")
+    out = is_hot.filter(F.col("_hot").isNull()).join(common, "_jk").unionByName(is_hot.filter("_hot").join(F.broadcast(hot), "_jk"))
+    return out.drop("_jk", "_hot")

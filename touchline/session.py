@@ -65,6 +65,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a new intermediate table in the shared folder: computed once,
+    and readers take the columns they need."""
+    path = scratch_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder (reliable checkpoint).
 
