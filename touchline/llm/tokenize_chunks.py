@@ -2,7 +2,8 @@
 
 A text is cut only where the tokenizer's own pre-tokenizer cuts in any case: at
 a white-space run after another character, after a single line feed, and
-between a letter and ``.`` or ``,``. Pieces repeat, so the tokenizers library
+between a letter and ``.`` or ``,``. None of these lies in a special token's
+string, which the tokenizer takes out of a text before. Pieces repeat, so the tokenizers library
 encodes the distinct ones, and numpy puts the ids of the texts together. A
 piece is known by a 128-bit hash.
 """
@@ -185,7 +186,6 @@ def pieces_of(path: str) -> Pieces:
     kept = tokenizers.__dict__.setdefault("_encoded_pieces", {})
     if path not in kept:
         t = tokenizers.Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
         kept[path] = Pieces(t, np.uint16 if t.get_vocab_size() <= 1 << 16 else np.uint32)
     return kept[path]
 
