@@ -27,7 +27,6 @@ from touchline.llm.shared import materialised
 from touchline.llm.textbatch import SPACED, slices, text_bytes
 
 WEIGHTS, MAX_TIMES, BUCKETS, SEED = (5, 2, 1), 3, 1024, 20_24
-MAX_DP = 1 << 17  # words left to the dynamic program at most; beyond, lengths are taken longest first
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +77,9 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, over: bool
     left = budget - int((lengths * take).sum())
     longest = np.argsort(-lengths, kind="stable")
     at_most = max(4096, 4 * int(np.median(lengths[lengths > 0])))
-    for i in longest.tolist():  # one more of the longest that fit
+    # One more of the longest that fit. Proportions leave less than a document of
+    # each length, so afterwards less than at_most and one document are left.
+    for i in longest.tolist():
         if left <= at_most:
             break
         n = int(lengths[i])
@@ -86,14 +87,6 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, over: bool
         if more > 0:
             take[i] += more
             left -= more * n
-    for i in longest.tolist():  # beyond what the dynamic program holds
-        if left <= MAX_DP:
-            break
-        n = int(lengths[i])
-        more = min(int(counts[i] - take[i]), (left - at_most) // n if n else 0)
-        if more > 0:
-            take[i] += more
-            left -= more * n
     # Bounded knapsack over bit sets: reach[j] has bit s if the first j steps can sum to s.
     room, steps, reach = (1 << (left + 1)) - 1, [], [1]
     for i in range(len(lengths)):
