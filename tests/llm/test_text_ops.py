@@ -94,6 +94,96 @@ def test_main_text_link_lists():
     assert "source" not in m(f"<div>{links}{text}</div>")
 
 
+def test_main_text_keeps_the_article():
+    m = html_main.main_text
+    p = "<p>Some words, here, of paragraph {}, with text.</p>"
+    for depth in (1, 2, 4, 12, 60):
+        assert m("<div id=content>" + "".join("<div>" * depth + p.format(i) + "</div>" * depth for i in range(10)) + "</div>").count("\n") == 9
+    assert m("".join(f"<table><tr><td>{p.format(i)}{p.format(-i)}</td></tr></table>" for i in range(10))).count("\n") == 19
+    for name in ("id='social-policy'", "id='related-work'", "class='x search-algorithms'", "class='notice-period'"):
+        assert m(f"<article>{p.format(1)}<section {name}>{p.format(2)}</section></article>").count("\n") == 1
+    for name in ("id='related'", "class='sidebar-left'", "class='cookie-notice-2'", "class='feedback-list'", "class='siteHeader'", "class='ad-slot-1'", "id='newsletter_signup_box'", "class='x acme-promo'"):
+        assert m(f"<div>{p.format(1)}<div {name}><p>Buy, now</p></div></div>").count("\n") == 0, name
+    assert m(f"<article>{p.format(1)}<div class='summer-promo'><a href=x>Buy, now</a></div></article>").count("\n") == 0
+    assert m("<article><p>We have <math><mi>x</mi><mo>=</mo><mn>1</mn></math> here, press <button>Go</button> now.</p><button>Share</button></article>") == "We have x=1 here, press Go now."
+
+
+def random_article(rng):
+    """A page of known paragraphs: wrapped up to 12 deep, in layout tables, lists and sections whose ids name a topic."""
+    names = ["", " class='text'", " id='related-work'", " class='social-policy'", " id=part-3", " class='notice-period'"]
+    count = 0
+
+    def part(level):
+        nonlocal count
+        if level == 0 or rng.random() < 0.3:
+            out = ""
+            for _ in range(rng.randint(1, 4)):
+                count += 1
+                out += f"<p>Paragraph number {count}, with some words, and more of {rng.random()}.</p>"
+            return out
+        inner = [part(level - 1) for _ in range(rng.randint(1, 3))]
+        kind = rng.choice(["wrap", "section", "table"])
+        if kind == "table":
+            return "<table><tbody>" + "".join(f"<tr><td>{x}</td></tr>" for x in inner) + "</tbody></table>"
+        deep = rng.randint(1, 12)
+        return "".join("<div>" * deep + x + "</div>" * deep if kind == "wrap" else f"<section{rng.choice(names)}>{x}</section>" for x in inner)
+
+    body = "".join(part(rng.randint(0, 3)) for _ in range(rng.randint(2, 4)))
+    return body, count
+
+
+def test_main_text_of_random_trees():
+    import re
+
+    for seed in range(150):
+        rng = random.Random(seed)
+        body, _ = random_article(rng)
+        want = re.findall(r"<p>(.*?)</p>", body)
+        html = f"<html><body><nav><a href=x>Menu</a></nav><article>{body}</article><div class='sidebar'><p>Not, this, one</p></div><div id='comments'><p>nor, this</p></div><footer>f</footer></body></html>"
+        assert html_main.main_text(html).split("\n") == want, seed
+
+
+def brute_points(node):
+    """(points, has own) of a nested (own, children) tree, by the rule of the module."""
+    own, children = node
+    given = [x for x in map(brute_points, children) if x]
+    return own + (sum(given) if len(given) == 1 and not own else html_main.DISCOUNT * sum(given))
+
+
+def test_main_text_takes_the_node_of_most_points():
+    """Plain div trees: the text is that of the node with most points by the recursive rule, and of its div siblings."""
+    for seed in range(200):
+        rng = random.Random(seed)
+        number = iter(range(10_000))
+
+        def tree(level, rng=rng, number=number):
+            texts = [f"t{next(number)}" + ", x" * rng.randint(0, 6) for _ in range(rng.choice([0, 0, 1, 2]))]
+            return texts, [tree(level - 1) for _ in range(rng.randint(0, 3))] if level else []
+
+        def html(n):
+            return "<div>" + "".join(f"<p>{t}</p>" for t in n[0]) + "".join(map(html, n[1])) + "</div>"
+
+        def shape(n):
+            return sum(1 + t.count(",") + len(t) / 100 for t in n[0]), [shape(c) for c in n[1]]
+
+        def texts(n):
+            return n[0] + [t for c in n[1] for t in texts(c)]
+
+        def nodes(n, up=None):
+            yield n, up
+            for c in n[1]:
+                yield from nodes(c, n)
+
+        root = tree(4)
+        every = [(brute_points(shape(n)), n, up) for n, up in nodes(root)]
+        top = max(x for x, _, _ in every)
+        best, up = next((n, up) for x, n, up in every if x == top)
+        want = [] if not top else texts(best) if up is None else [t for c in up[1] for t in texts(c)]
+        got = html_main.main_text(html(root))
+        lines = got.split("\n") if got else []
+        assert [x for x in lines if up is None or x not in up[0]] == want, seed
+
+
 def test_main_text_table(spark):
     rows = [(1, "u", "<p>a, b</p>"), (1, "u", "<p>a, b</p>"), (None, None, None), (2, "v", "")]
     got = html_main.main_texts(clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()
@@ -230,7 +320,66 @@ def test_fm_learns_an_interaction():
     assert both > 0 and b + w[f[0]] < 0 and b + w[f[1]] < 0
 
 
+def fm_score(rows, model):
+    """The machine's score of each row, by its definition: all pairs."""
+    ids, w, v, b = model
+    at = {int(i): k for k, i in enumerate(ids)}
+    out = []
+    for r in rows:
+        f = [at[int(i)] for i in r if int(i) in at]
+        raw = b + sum(w[i] for i in f) + sum(v[i] @ v[j] for n, i in enumerate(f) for j in f[n + 1 :])
+        out.append(1 / (1 + np.exp(-raw)))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("noise", [2, 30])
+def test_fm_learns_two_terms_without_effect_of_their_own(noise):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 2, (6000, 2))
+    y = x[:, 0] ^ x[:, 1]
+    rows = [np.unique(np.concatenate([100 + np.flatnonzero(z), rng.integers(1000, 1400, noise)])).astype(np.int32) for z in x]
+    model = toxicity_fm.fit_fm(rows[:4000], y[:4000])
+    assert {100, 101} <= set(model[0].tolist())
+    assert ((fm_score(rows[4000:], model) > 0.5) == y[4000:]).mean() > 0.98
+
+
+def test_fm_scores_by_definition(spark):
+    """What the job scores is the sum over all pairs of a text's terms."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 9)))) for i in range(300)]
+    labels = [(i, int("w1" in t.split() and "w2" in t.split())) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity_fm.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    held = sorted(model.collect(), key=lambda r: r.bucket)
+    parts = [r.bucket for r in held[1:]], [r.weight for r in held[1:]], [np.array(r.factors) for r in held[1:]], held[0].weight
+    hasher = toxicity_fm.Hasher(ALNUM, toxicity_fm.PREFIXES)
+    got = by_id([r.asDict() | {"doc_id": r.row.doc_id} for r in toxicity_fm.scored_rows(df, model).collect()])
+    for i, t in rows:
+        terms = toxicity_fm._distinct(*toxicity_fm._terms(hasher, pa.array([t])))[1]
+        assert abs(got[i]["score"] - fm_score([terms], parts)[0]) < 1e-9
+
+
+def test_fm_without_rows(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert [r.score for r in toxicity_fm.toxicity(df, none).collect()] == [0.5]
+    assert toxicity_fm.toxicity(df.limit(0), none).count() == 0
+
+
 # ---------------------------------------------------------------- op5
+def test_budget_of_very_long_documents():
+    """Budgets far above 2**17 words are met but for a document of the shorter lengths."""
+    lengths, counts = np.array([1, 70_001, 100_003, 250_007, 1_000_003]), np.array([3, 2, 2, 2, 1])
+    for budget in (170_004, 500_017, 1_250_012, 900_000, 140_002):
+        take = mixing.fit_budget(lengths, counts, budget)
+        assert (take <= counts).all()
+        assert abs(int((lengths * take).sum()) - budget) <= 70_001
+    alone = np.array([1_000_003]), np.array([5])
+    assert mixing.fit_budget(*alone, 3_000_009).tolist() == [3]
+    assert mixing.fit_budget(np.array([300_007, 400_009]), np.array([4, 1]), 400_009).tolist() in ([0, 1], [1, 0])
+
+
 def brute_targets(sizes, weights=(5, 2, 1)):
     w = {s: weights[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     total, fixed = sum(sizes.values()), {}
@@ -349,8 +498,8 @@ def test_tokens(spark, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    odd = [(10_000 + i, x, "", "", 0) for i, x in enumerate(["It's  two\n\n a.b,c <|endoftext|> é×1　x\u0085y \x00 z", "\0", " ", "a" * 5000, "日本語。 テスト"])]
+    assert t.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    odd = [(10_000 + i, x, "", "", 0) for i, x in enumerate(["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> \n<|endoftext|>\n\nx.<|endoftext|>, <|endoftext|", "It's  two\n\n a.b,c <|endoftext|> é×1　x\u0085y \x00 z", "\0", " ", "a" * 5000, "日本語。 テスト"])]
     df = clashing(docs.unionAll(spark.createDataFrame([*odd, (None, "null id", "", "", 0), (3, "again", "", "", 0), (3, "again", "", "", 0)], DOCS)))
     rows = sorted(df.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     want, start = {}, 0

@@ -8,16 +8,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
+from touchline.session import checkpoint_dir
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where that is unset (as in
-    a local test) a folder of the warehouse, which all executors see too."""
-    found = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    return found.rstrip("/")
+    """``spark.checkpoint.dir`` of the session; unset, a local session takes a
+    folder of its warehouse and any other gets an error."""
+    return checkpoint_dir(spark)
 
 
 def materialised(df: DataFrame) -> DataFrame:
