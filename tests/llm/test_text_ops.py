@@ -3,6 +3,8 @@
 import random
 import re
 import zlib
+from collections import Counter
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -262,6 +264,66 @@ def test_disclosing_terms_anywhere(spark):
     assert all(got[i].spans == "" for i in range(10, 40))
 
 
+def disclosing_terms(texts, threshold=0.75, support=3):
+    """Plain count of documents by term and entity -> the marked (start, end) of each text."""
+    found = []
+    for t in texts:
+        base = H.spans(t, H.PII)
+        ents = {(k, t[a:b].lower()) for k, a, b in base}
+        words = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t or "")]
+        found.append((base, ents, words))
+    total, with_e, with_t, both = len(texts), Counter(), Counter(), Counter()
+    for _, ents, words in found:
+        terms = {w[0] for w in words}
+        with_e.update(ents)
+        with_t.update(terms)
+        both.update((e, t) for e in ents for t in terms)
+    share = {et: (log2(total) + log2(n) - log2(with_e[et[0]]) - log2(with_t[et[1]])) / (log2(total) - log2(with_e[et[0]]))
+             for et, n in both.items() if n >= support and with_e[et[0]] < total}
+    told = {et for et, x in share.items() if x >= threshold}
+    # Shares at the threshold itself may fall to either side by rounding.
+    assert all(abs(x - threshold) > 1e-9 for x in share.values())
+    return [[(a, b) for w, a, b in words if any((e, w) in told for e in ents) and not any(c < b and a < d for _, c, d in base)] for base, ents, words in found]
+
+
+def test_disclosing_terms_brute_force(spark):
+    rng = random.Random(5)
+    people = [f"p{i}@mail{i % 7}.example" for i in range(12)] + ["10.0.0.%d" % i for i in range(6)] + ["+49 30 1234567%d" % i for i in range(4)]
+    names = [f"name{i}" for i in range(30)]
+    texts = []
+    for i in range(113):
+        own = rng.sample(range(len(people)), rng.choice([0, 0, 1, 1, 2, 4]))
+        words = [w for p in own for w in (people[p], names[p], names[(p + 1) % 30])] + rng.choices(WORDS[:60], k=rng.randrange(25))
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    texts += texts[:5] * 3 + [None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = by_id(pii_disclosure.pii_report(df).collect())
+    n = 0
+    for i, want in enumerate(disclosing_terms(texts)):
+        marked = [(int(a), int(b)) for k, a, b in (x.split(":") for x in got[i].spans.split(",") if x) if k == "term"]
+        assert marked == want, i
+        n += len(marked)
+    assert n > 100
+
+
+def test_many_entities_and_terms(spark):
+    """Copies of a text of thousands of addresses and words: one class of each."""
+    long = " ".join(f"u{i}@h{i}.example word{i}" for i in range(4000))
+    rows = [(i, long) for i in range(4)] + [(i, f"other text {i}") for i in range(10, 60)]
+    got = by_id(pii_disclosure.pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert all(got[i].n_email == 4000 and got[i].n_term == 4000 for i in range(4)) and got[10].spans == ""
+
+
+def test_sanitised_rows(spark):
+    """Rows with one doc_id, with none, and repeated ones keep their own spans."""
+    rows = [(1, "a@b.example x"), (1, "call +49 30 1234567 8"), (None, "see a@b.example"), (None, None), (2, "clean"), (2, "clean")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, pii_disclosure.sanitised(clashing(df)).collect()), key=str)
+    assert got == sorted([(1, "[EMAIL] x"), (1, "call [PHONE]"), (None, "see [EMAIL]"), (None, ""), (2, "clean"), (2, "clean")], key=str)
+    assert pii_disclosure.sanitised(df.limit(0)).count() == 0
+
+
 def test_ownership(spark):
     live, example = "aB3dE5gH7jK9mN1pQ3sT5vW", "Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2"
     rows = [(1, f"key {live} and {example}", "o1"), (2, f"{example} token=abcdefgh12", "o2"), (3, example, "o3"), (4, "token=abcdefgh12", "o3"), (5, "token=abcdefgh12", "o1"), (6, "password: hunter2hunter2", "o1")]

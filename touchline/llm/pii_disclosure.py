@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from touchline.llm.shared import materialised
+from touchline.llm.shared import materialised, small_join
 from touchline.llm.spans import count_of, in_order, matches, replaced, written
 
 # The forms, possessive where that changes no match. A run of a
@@ -32,6 +33,14 @@ TERM = r"[\p{L}\p{M}\p{N}]++"
 THRESHOLD, SUPPORT = 0.75, 3
 
 
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+
+
+def _same() -> Column:
+    return F.struct(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")).alias("same")
+
+
 def _digits(v: Column) -> Column:
     return F.regexp_replace(v, "[^0-9]", "")
 
@@ -48,36 +57,81 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def _row_set() -> list[Column]:
+    """128 bits that show a set of distinct rows, whatever their order."""
+    return [F.bit_xor(F.xxhash64("row")).alias("set1"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("set2")]
+
+
+def _disclosed(marked: DataFrame, with_term: DataFrame, total: int, threshold: float, support: int) -> DataFrame:
+    """``marked`` (row, entities, words) of all rows with identifiers, and in how
+    many documents each term stands -> the terms (row, term) to be marked.
+
+    Entities that stand in the same rows disclose alike, as do terms: one class
+    of each is paired, so copies of a text count once however many values they
+    repeat. As both stand together in no more documents than the term alone,
+    a share of ``threshold`` needs with_term <= total^(1 - threshold) *
+    with_entity^threshold; terms beyond that meet no entity.
+    """
+    most = lambda n: F.pow(F.lit(float(total)), F.lit(1 - threshold)) * F.pow(n, F.lit(threshold)) * (1 + 1e-9)
+    held = marked.select("row", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("with_entity"), *_row_set())
+    entities = entities.where((F.col("with_entity") >= support) & (F.col("with_entity") < total))
+    entities = materialised(entities.select("entity", "with_entity", F.xxhash64("with_entity", "set1", "set2").alias("ec"), F.col("with_entity").alias("n")))
+    widest = entities.agg(F.max("with_entity")).first()[0] or 0
+    held = small_join(held, entities, "entity", "n").select("row", "ec", "with_entity").distinct()
+    words = marked.select("row", F.explode(F.array_distinct(F.transform("words", lambda t: t["term"]))).alias("term"))
+    terms = words.groupBy("term").agg(F.count("*").alias("n"), *_row_set()).where(F.col("n") >= support).join(with_term, "term").where(F.col("with_term") <= most(F.lit(float(widest))))
+    words = materialised(small_join(words, terms.select("term", "with_term", F.xxhash64("with_term", "n", "set1", "set2").alias("tc"), "n"), "term", "n"))
+    row_entities = held.groupBy("row").agg(F.collect_list(F.struct("ec", "with_entity")).alias("entities"))
+    row_terms = words.select("row", "tc", "with_term").distinct().groupBy("row").agg(F.collect_list(F.struct("tc", "with_term")).alias("terms"))
+    rows = materialised(row_entities.join(row_terms, "row"))
+    pairs = rows.select("row", F.explode("entities").alias("e"), "terms")
+    pairs = pairs.select("row", "e.*", F.explode(F.filter("terms", lambda t: t["with_term"] <= most(F.col("e.with_entity")))).alias("t")).select("row", "ec", "with_entity", "t.*")
+    both = pairs.groupBy("ec", "with_entity", "tc", "with_term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+    bits = F.log2(F.lit(float(total)))
+    share = (bits + F.log2("both") - F.log2("with_entity") - F.log2("with_term")) / (bits - F.log2("with_entity"))
+    disclosing = both.where(share >= threshold).select(F.struct("ec", "tc").alias("pair"), F.col("both").alias("n"))
+    told = small_join(pairs.select("row", "tc", F.struct("ec", "tc").alias("pair")), disclosing, "pair", "n").select("row", "tc").distinct()
+    return words.join(told, ["row", "tc"]).select("row", "term")
+
+
+def _outside(words: DataFrame, hits: DataFrame) -> DataFrame:
+    """The ``words`` (row, start, end) that overlap none of the ``hits`` (row,
+    start, end) of their row: two sorts of a document's spans instead of every
+    word against every hit."""
+    spans = words.select("row", "start", "end", F.lit(False).alias("hit")).union(hits.select("row", "start", "end", F.lit(True)))
+    up, down = Window.partitionBy("row").orderBy("start", F.desc("hit")), Window.partitionBy("row").orderBy(F.desc("start"))
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = spans.withColumn("before", F.max(F.when(F.col("hit"), F.col("end"))).over(so_far(up))).withColumn("after", F.min(F.when(F.col("hit"), F.col("start"))).over(so_far(down)))
+    free = F.coalesce(F.col("before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("after") >= F.col("end"), F.lit(True))
+    return spans.where(~F.col("hit") & free).select("row", "start", "end")
+
+
 def find_pii(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """``docs`` (doc_id, text) -> row, doc_id, base, terms: the spans of direct
-    identifiers and of disclosing terms of every input row, repeated rows too.
-    Null and empty texts have none."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """``docs`` (doc_id, text) -> row, doc_id, same, base, terms: the spans of
+    direct identifiers and of disclosing terms of every input row, repeated rows
+    too; ``same`` is a hash of the text.
+
+    Null and empty texts have none, an empty table gives no rows, and a null
+    doc_id stays null. A share that equals ``threshold`` counts. A text of any
+    length is searched whole; what it costs grows with its words and with its
+    classes of entities times its classes of terms.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text())
     found = docs.select("doc_id", "text", base_spans(F.col("text")).alias("hits"))
     occurrences = F.transform(matches(F.col("text"), TERM, "term", 4, F.size("hits") > 0, lambda v: F.lit(True)), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.xxhash64(F.lower(t["value"])).alias("term")))
     entity = lambda h: F.xxhash64(F.concat_ws(":", h["kind"], F.lower(h["value"])))
-    hits = materialised(found.select("doc_id", "hits", F.array_distinct(F.transform("hits", entity)).alias("entities"), occurrences.alias("words")).withColumn("row", F.monotonically_increasing_id()))
-    total = F.lit(float(hits.count()))
+    hits = materialised(found.select("doc_id", _same(), "hits", F.array_distinct(F.transform("hits", entity)).alias("entities"), occurrences.alias("words")).withColumn("row", F.monotonically_increasing_id()))
     marked = hits.where("size(hits) > 0")
-    held = marked.select("row", F.explode("entities").alias("entity"))
-    entities = held.groupBy("entity").agg(F.count("*").alias("with_entity")).where((F.col("with_entity") >= support) & (F.col("with_entity") < total))
-    held = materialised(held.join(entities, "entity"))
-    # Distinct terms and entities of a row, counted where they stand: what is shuffled grows with the distinct pairs of a task, not with the rows of a hot entity.
-    row_terms = marked.select("row", F.array_distinct(F.transform("words", lambda t: t["term"])).alias("terms"))
-    row_entities = held.groupBy("row").agg(F.collect_list(F.struct("entity", "with_entity")).alias("entities"))
-    pairs = row_terms.join(row_entities, "row").select("terms", F.explode("entities").alias("e")).select("e.*", F.explode("terms").alias("term"))
-    pairs = pairs.groupBy("entity", "with_entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda v: F.lower(v)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy(F.xxhash64("term").alias("term")).agg(F.count("*").alias("with_term")).where(F.col("with_term") >= support)
-    share = (F.log2(total) + F.log2("both") - F.log2("with_entity") - F.log2("with_term")) / (F.log2(total) - F.log2("with_entity"))
-    disclosing = pairs.join(terms, "term").where(share >= threshold).select("entity", "term")
-    extra = held.join(disclosing, "entity").groupBy("row").agg(F.collect_set("term").alias("disclosing"))
-    outside = lambda t: ~F.exists("hits", lambda h: (h["start"] < t["end"]) & (t["start"] < h["end"]))
-    extra = marked.select("row", "hits", "words").join(extra, "row").select("row", F.filter("words", lambda t: F.array_contains("disclosing", t["term"]) & outside(t)).alias("terms"))
+    with_term = docs.select(F.explode(words).alias("term")).groupBy(F.xxhash64("term").alias("term")).agg(F.count("*").alias("with_term")).where(F.col("with_term") >= support)
+    told = materialised(_disclosed(marked, with_term, hits.count(), threshold, support))
+    each = marked.select("row", F.explode("words").alias("w")).select("row", "w.*").join(told, ["row", "term"])
+    near = marked.select("row", F.explode("hits").alias("h")).select("row", "h.start", "h.end").join(told.select("row").distinct(), "row", "left_semi")
+    kind = F.struct(F.lit("term").alias("kind"), F.lit(4).alias("k"), F.col("start"), F.col("end"))
+    extra = _outside(each, near).groupBy("row").agg(F.array_sort(F.collect_list(kind)).alias("terms"))
     base = F.transform("hits", lambda h: F.struct(h["kind"].alias("kind"), h["k"].alias("k"), h["start"].alias("start"), h["end"].alias("end"), h["value"].alias("value")))
-    kind = lambda t: F.struct(F.lit("term").alias("kind"), F.lit(4).alias("k"), t["start"].alias("start"), t["end"].alias("end"))
-    return hits.select("row", "doc_id", base.alias("base")).join(extra, "row", "left").select(
-        "row", "doc_id", "base", F.coalesce(F.transform("terms", kind), F.array()).alias("terms"))
+    return hits.select("row", "doc_id", "same", base.alias("base")).join(extra, "row", "left").select("row", "doc_id", "same", "base", F.coalesce("terms", F.array()).alias("terms"))
 
 
 def pii_report(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
@@ -92,10 +146,12 @@ def pii_report(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUP
 
 
 def sanitised(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """doc_id and the text with every span replaced by its kind, for tables in
-    which doc_id is a key."""
+    """doc_id and the text of every input row with every span replaced by its
+    kind. The spans follow from the text alone, so rows with the same doc_id, or
+    none, keep their own."""
     found = find_pii(docs, threshold, support)
     bare = lambda c: F.transform(c, lambda s: F.struct(s["kind"].alias("kind"), s["k"].alias("k"), s["start"].alias("start"), s["end"].alias("end")))
-    spans = found.select("doc_id", in_order(F.concat(bare(F.col("base")), F.col("terms"))).alias("spans"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(spans, "doc_id", "left").select("doc_id", replaced(F.col("text"), F.coalesce("spans", F.array().cast("array<struct<start:int,k:int,end:int,kind:string>>"))).alias("text"))
+    spans = found.select("same", in_order(F.concat(bare(F.col("base")), F.col("terms"))).alias("spans"))
+    spans = spans.groupBy("same").agg(F.first("spans").alias("spans"), F.count("*").alias("n"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text()).withColumn("same", _same())
+    return small_join(texts, spans, "same", "n").select("doc_id", replaced(F.col("text"), F.col("spans")).alias("text"))
