@@ -1,6 +1,7 @@
 """Plan guards: every registered query stays JVM-side and join-safe."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from touchline.registry import REGISTRY
@@ -49,3 +50,26 @@ def test_extraction_is_page_local(spark):
     for rows in (extract.schedule_rows(pages), extract.player_match_rows(pages)):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Join" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_team_ranks_in_place_and_by_range(spark):
+    # The season of 600 players is ranked in place, that of 2,400 (none) by range.
+    from touchline.operators.player_season import SEASON_RANKS, SEASON_TOTALS, totals_and_ranks
+
+    n = 3000
+    rows = spark.range(n).select(
+        F.concat(F.lit("p"), "id").alias("player_id"), F.when(F.col("id") % 5 == 0, F.lit("1_2024")).alias("season_id"), F.lit("T").alias("team_name"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("n"), F.col("id") % 900)).alias("player"),
+        *[F.when(F.col("id") % (11 + i) > 0, F.col("id") * (i + 3) % 37).alias(src) for i, (_, src) in enumerate(SEASON_TOTALS)])
+    got = totals_and_ranks(rows, large=1000)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "dense_rank" in plan and "_first_" in plan
+    got = {r.player_id: r for r in got.collect()}
+    plain = rows.collect()
+    assert len(got) == n
+    for (rank, total), (_, src) in zip(SEASON_RANKS, SEASON_TOTALS, strict=True):
+        for season in (None, "1_2024"):
+            mine = [r for r in plain if r.season_id == season]
+            by = lambda r: (r[src] is None, -(r[src] or 0), r.player is None, r.player or "")  # noqa: E731, B023
+            place = {k: i + 1 for i, k in enumerate(sorted({by(r) for r in mine}))}
+            assert all(got[r.player_id][rank] == place[by(r)] and got[r.player_id][total] == r[src] for r in mine)
