@@ -26,12 +26,13 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_join(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+def small_join(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner", written: bool = False) -> DataFrame:
     """``rows`` joined with ``groups`` (one row a ``key``, which stands for
     ``size`` rows), also where one key holds a third of all rows. The groups of
     more than a 256th part, 256 at most, are broadcast; only the rows of the
-    others are shuffled. ``size`` is dropped; ``groups`` is read twice."""
-    groups = materialised(groups)
+    others are shuffled. ``size`` is dropped; ``groups`` is read three times, and
+    written first unless it is ``written`` already."""
+    groups = groups if written else materialised(groups)
     total = groups.agg(F.sum(size)).first()[0] or 0
     hot = groups.where(F.col(size) > F.lit(total / 256)).drop(size)
     keys = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
@@ -40,6 +41,19 @@ def small_join(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str
     return common.unionByName(marked.where("_hot").drop("_hot").join(F.broadcast(hot), key))
 
 
+def salted_join(rows: DataFrame, others: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` joined with ``others``, both of which may have many rows of one
+    ``key``. Where a key has more than a 256th part of ``rows`` (256 keys at
+    most), these are dealt out by the hash of ``by`` over parts of that size,
+    and the key's ``others`` are copied to each. ``rows`` is read three times."""
+    part = rows.count() / 256
+    hot = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > F.lit(part))
+    hot = F.broadcast(materialised(hot.select(key, F.ceil(F.col("n") / F.lit(part or 1.0)).cast("int").alias("_parts"))))
+    dealt = rows.join(hot, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    copied = others.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(copied, [key, "_part"]).drop("_part")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

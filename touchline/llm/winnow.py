@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import bitmap, materialised, may_hold
+from touchline.llm.shared import bitmap, materialised, may_hold, salted_join
 from touchline.llm.textbatch import ALNUM, Hasher, doc_index, grams, list_column, signed, slices, text_bytes
 
 K = 5
@@ -147,8 +147,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     """``docs`` (doc_id, text), ``benchmark`` (item_id, text) -> doc_id,
     n_words, n_hit, n_items, items_sha256, contaminated, items.
 
-    One row per input row, repeated ones too. Null and empty texts have no
-    words; items without words match nothing. Repeated items count once by id;
+    One row per input row, repeated ones too; an empty table gives an empty
+    result, an empty benchmark no hits. Null and empty texts have no
+    words; texts of any length are read whole; items without words match nothing. Repeated items count once by id;
     an item without an id marks words but is not listed. ``items`` are the
     item_ids as strings, sorted by code point and joined with commas.
     """
@@ -162,8 +163,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     sizes = [r[0] for r in items.where("short").select(F.least(F.lit(K), "n").cast("int")).distinct().collect()]  # at most K values
     rows = docs.mapInArrow(_doc_rows(window, bits, short_bits, sorted(sizes)), "doc_id long, n_words long, prints array<long>, words array<long>")
     rows = materialised(rows.withColumn("row", F.monotonically_increasing_id()))
-    pairs = rows.where("size(prints) > 0").select("row", F.explode("prints").alias("print")).join(item_prints.select("item", "print").distinct(), "print").select("row", "item").distinct()
-    listed = pairs.join(items.select("item", "item_id", F.col("words")), "item").groupBy("row").agg(F.collect_list(F.struct("item_id", "words")).alias("items"))
+    doc_prints = rows.where("size(prints) > 0").select("row", F.explode("prints").alias("print"))
+    # A passage that most documents share is one print and one item: both joins deal such out.
+    pairs = materialised(salted_join(doc_prints, item_prints.select("item", "print").distinct(), "print", "row").select("row", "item").distinct())
+    listed = salted_join(pairs, items.select("item", "item_id", "words"), "item", "row").groupBy("row").agg(F.collect_list(F.struct("item_id", "words")).alias("items"))
     hits = rows.where("size(prints) > 0").select("row", "words").join(listed, "row").mapInArrow(_extended(window), "row long, n_hit long, n_items long, items string")
     out = rows.select("row", "doc_id", "n_words").join(hits, "row", "left")
     return out.select(
