@@ -4,7 +4,8 @@ Each round sends every node to the neighbour (or itself) of least hashed rank
 and joins the edges to the new names, which shrinks any component by a constant
 factor whatever its shape; duplicate edges fall away. Once the edges that are
 left fit a fixed bound, one task finishes them by union-find. Both ways give
-the same result; nothing is dropped.
+the same result; nothing is dropped. A hub or a component that holds most of
+the rows is joined without a shuffle of its rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import materialised
+from touchline.llm.shared import materialised, small_join
 
 FINISH_EDGES = 200_000
 
@@ -50,20 +51,22 @@ def connected_components(edges: DataFrame, finish_edges: int = FINISH_EDGES) ->
     while edges.count() > finish_edges:
         both = edges.union(edges.select("b", "a"))
         rank = lambda c: F.struct(F.xxhash64(F.lit(len(maps)), F.col(c)).alias("r"), F.col(c).alias("id"))
-        step = both.groupBy(F.col("a").alias("node")).agg(F.min(rank("b")).alias("m"), F.first(rank("a")).alias("own"))
-        step = materialised(step.select("node", F.least("m", "own")["id"].alias("label")))
-        maps.append(step)
-        edges = materialised(
-            edges.join(step.toDF("a", "la"), "a").join(step.toDF("b", "lb"), "b")
-            .select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).where("a <> b").distinct()
-        )
+        step = both.groupBy(F.col("a").alias("node")).agg(F.min(rank("b")).alias("m"), F.first(rank("a")).alias("own"), F.count("*").alias("n"))
+        step = materialised(step.select("node", F.least("m", "own")["id"].alias("label"), "n"))
+        maps.append(step.select("node", "label"))
+        named = small_join(edges, step.toDF("a", "la", "n"), "a", "n", written=True)
+        named = small_join(named, step.toDF("b", "lb", "n"), "b", "n", written=True)
+        edges = materialised(named.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).where("a <> b").distinct())
     last = edges.coalesce(1).mapInArrow(_union_find, "node long, label long")
     if not maps:
         return last.toDF("node", "component")
     maps.append(materialised(last))
     found = first.select(F.col("a").alias("node")).union(first.select("b")).distinct().withColumn("label", F.col("node"))
     for step in maps:
-        found = found.join(step.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        found = materialised(found)
+        sizes = found.groupBy("label").agg(F.count("*").alias("n"))
+        names = sizes.join(step.toDF("label", "to"), "label", "left").select("label", F.coalesce("to", "label").alias("to"), "n")
+        found = small_join(found, names, "label", "n").select("node", F.col("to").alias("label"))
     found = materialised(found)
-    least = found.groupBy("label").agg(F.min("node").alias("component"))
-    return found.join(least, "label").select("node", "component")
+    least = found.groupBy("label").agg(F.min("node").alias("component"), F.count("*").alias("n"))
+    return small_join(found, least, "label", "n").select("node", "component")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.components import connected_components
-from touchline.llm.shared import bitmap, materialised, may_hold
+from touchline.llm.shared import bitmap, materialised, may_hold, small_join
 from touchline.llm.textbatch import SPACED, Hasher, constants, doc_index, grams, list_column, mix, signed, slices, text_bytes
 
 TREES, DEPTH, SHALLOW, REACH, FIRST_TREES = 20, 8, 3, 12, 3
@@ -211,8 +211,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 def _unlinked(unmet: DataFrame, found: DataFrame) -> DataFrame:
     """Classes (node, component) of the regions that hold several components."""
     named = unmet.join(found.toDF("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = named.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("region")
-    return named.join(mixed, "region", "left_semi").select("node", "component").distinct()
+    named = materialised(named.select("node", "component", "region"))
+    regions = named.groupBy("region").agg((F.min("component") < F.max("component")).alias("mixed"), F.count("*").alias("n"))
+    return small_join(named, regions, "region", "n").where("mixed").select("node", "component").distinct()
 
 
 def _exact_pairs(sets: DataFrame, similar: int) -> DataFrame:
@@ -220,8 +221,8 @@ def _exact_pairs(sets: DataFrame, similar: int) -> DataFrame:
     components that can have the similarity. A node may have several sets."""
     sets = sets.withColumn("at", F.monotonically_increasing_id())
     each = materialised(sets.select("at", "node", "component", F.explode("items").alias("item")))
-    common = each.groupBy("item").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")).where("n > 1")
-    placed = each.join(common, "item", "left").groupBy("at", "node", "component").agg(
+    common = each.groupBy("item").agg(F.count("*").alias("n"), F.count("*").alias("rows"), F.min("component").alias("least"), F.max("component").alias("most")).where("n > 1")
+    placed = small_join(each, common, "item", "rows", "left").groupBy("at", "node", "component").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "item", F.coalesce(F.col("least") < F.col("most"), F.lit(False)).alias("leads")))).alias("items"))
     size = F.size("items")
     front = placed.select("node", "component", size.alias("size"), F.posexplode(F.slice("items", F.lit(1), (size - F.ceil(size * similar / 100.0 - 1e-9) + 1).cast("int"))).alias("pos", "x"))
