@@ -16,10 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from touchline.llm.shared import materialised, small_join
-from touchline.llm.spans import count_of, in_order, matches, replaced, written
+from touchline.llm.spans import count_of, in_order, matches, outside, replaced, written
 
 # The forms, possessive where that changes no match. A run of a
 # class is entered only at its start or where the last match ended.
@@ -95,18 +94,6 @@ def _disclosed(marked: DataFrame, with_term: DataFrame, total: int, threshold: f
     return words.join(told, ["row", "tc"]).select("row", "term")
 
 
-def _outside(words: DataFrame, hits: DataFrame) -> DataFrame:
-    """The ``words`` (row, start, end) that overlap none of the ``hits`` (row,
-    start, end) of their row: two sorts of a document's spans instead of every
-    word against every hit."""
-    spans = words.select("row", "start", "end", F.lit(False).alias("hit")).union(hits.select("row", "start", "end", F.lit(True)))
-    up, down = Window.partitionBy("row").orderBy("start", F.desc("hit")), Window.partitionBy("row").orderBy(F.desc("start"))
-    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = spans.withColumn("before", F.max(F.when(F.col("hit"), F.col("end"))).over(so_far(up))).withColumn("after", F.min(F.when(F.col("hit"), F.col("start"))).over(so_far(down)))
-    free = F.coalesce(F.col("before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("after") >= F.col("end"), F.lit(True))
-    return spans.where(~F.col("hit") & free).select("row", "start", "end")
-
-
 def find_pii(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """``docs`` (doc_id, text) -> row, doc_id, same, base, terms: the spans of
     direct identifiers and of disclosing terms of every input row, repeated rows
@@ -129,7 +116,7 @@ def find_pii(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
     each = marked.select("row", F.explode("words").alias("w")).select("row", "w.*").join(told, ["row", "term"])
     near = marked.select("row", F.explode("hits").alias("h")).select("row", "h.start", "h.end").join(told.select("row").distinct(), "row", "left_semi")
     kind = F.struct(F.lit("term").alias("kind"), F.lit(4).alias("k"), F.col("start"), F.col("end"))
-    extra = _outside(each, near).groupBy("row").agg(F.array_sort(F.collect_list(kind)).alias("terms"))
+    extra = outside(each, near).groupBy("row").agg(F.array_sort(F.collect_list(kind)).alias("terms"))
     base = F.transform("hits", lambda h: F.struct(h["kind"].alias("kind"), h["k"].alias("k"), h["start"].alias("start"), h["end"].alias("end"), h["value"].alias("value")))
     return hits.select("row", "doc_id", "same", base.alias("base")).join(extra, "row", "left").select("row", "doc_id", "same", "base", F.coalesce("terms", F.array()).alias("terms"))
 
