@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from touchline.llm import chat_parts, html_main, lsh_forest, mixing, pii_disclosure, secret_ownership, token_huffman, tokenize_chunks, toxicity_fm, winnow
 from touchline.llm.components import connected_components
 from touchline.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
+from touchline.llm.shared import salted_join
 from touchline.llm.textbatch import ALNUM, SPACED, Hasher, text_bytes
 
 from . import helpers as H
@@ -341,6 +342,38 @@ def test_one_owner_many_repositories(spark):
         assert ("live:" in r.spans, r.n_live, r.n_example) == (own, int(own), int(not own))
 
 
+def test_live_spans_brute_force(spark):
+    """Verdicts and added spans of random texts, and of one with thousands of hits."""
+    rng = random.Random(9)
+    values = ["".join(rng.choice("ABCDEFabcdef0123456789xyzXYZ") for _ in range(rng.randint(20, 28))) + "aZ7" for _ in range(40)]
+    forms = [lambda v: v, lambda v: f"token={v}", lambda v: f"password: {v}", lambda v: f"({v})", lambda v: "0123456789abcdef" * 2]
+    text = lambda n: " ".join(rng.choice(forms)(rng.choice(values)) for _ in range(n))
+    rows = [(i, text(rng.randint(0, 6)), rng.choice(["a", "b", "c", "d", None])) for i in range(60)] + [(99, text(4000), "e"), (100, None, None), (101, "", "a")]
+    mixed = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+    found, owners, repos = {}, {}, {}
+    for i, t, o in rows:
+        hits = []
+        for m in re.finditer(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t or "", re.I | re.A):
+            hits += [(m.start(), 0, m.end(), "assign", m.group(1))] if len(m.group(1)) >= 8 else []
+        hits += [(m.start(), 2, m.end(), "hex", m.group()) for m in re.finditer(r"[0-9a-f]{32,}", t or "")]
+        for m in re.finditer(mixed, t or ""):
+            v = m.group()
+            if re.search("[0-9]", v) and re.search("[a-z]", v) and re.search("[A-Z]", v) and len(set(v)) >= 12:
+                hits.append((m.start(), 3, m.end(), "live", v))
+        found[i] = hits
+        for *_, v in hits:
+            owners.setdefault(v, set()).add(o)
+            repos.setdefault(v, set()).add(i)
+    for copied, spread in ((3, 10), (2, 3)):
+        got = by_id(secret_ownership.secret_report(spark.createDataFrame(rows, "doc_id long, text string, source string"), copied=copied, spread=spread).collect())
+        live = lambda v: len(owners[v]) < copied and len(repos[v]) < spread  # noqa: E731, B023
+        for i, hits in found.items():
+            base = [h for h in hits if h[3] != "live"]
+            more = [h for h in hits if h[3] == "live" and live(h[4]) and not any(b[0] < h[2] and h[0] < b[2] for b in base)]
+            assert got[i].spans == ",".join(f"{k}:{s}:{e}" for s, _, e, k, _ in sorted(base + more)), i
+            assert (got[i].n_live, got[i].n_example) == (sum(live(h[4]) for h in base), sum(not live(h[4]) for h in base))
+
+
 # ---------------------------------------------------------------- op4
 def test_toxicity(spark):
     rng = random.Random(4)
@@ -547,6 +580,16 @@ def test_sketch_margin():
     assert found and (found[0]["a"], found[0]["b"]) == (1, 2)
 
 
+def test_salted_join(spark):
+    rng = random.Random(2)
+    left = [(i, rng.choice([7, 7, 7, 8, rng.randint(0, 400)])) for i in range(3000)]
+    right = [(k, j) for k in range(300) for j in range(2)] + [(7, j) for j in range(2, 40)]
+    got = salted_join(spark.createDataFrame(left, "row long, k long"), spark.createDataFrame(right, "k long, j long"), "k", "row")
+    assert sorted(map(tuple, got.select("row", "k", "j").collect())) == sorted((i, k, j) for i, k in left for q, j in right if q == k)
+    none = spark.createDataFrame([], "row long, k long")
+    assert salted_join(none, spark.createDataFrame(right, "k long, j long"), "k", "row").count() == 0
+
+
 def test_components_by_contraction(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]

@@ -36,6 +36,19 @@ def test_top_k(spark, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_top_k_of_ids_with_several_vectors(spark, monkeypatch):
+    """Such an id is left out whole for its own queries, however many vectors it has."""
+    monkeypatch.setattr(topk_threshold, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(topk_threshold, "VECTOR_BLOCK", 32)
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(120)]
+    rows += [(40, [rng.gauss(0, 3) for _ in range(4)]) for _ in range(30)] + [(41, [rng.gauss(0, 2) for _ in range(4)]) for _ in range(25)]
+    rows += [(i, [1.0, 1.0, 0.0, 0.0]) for i in range(1000, 1400)]  # one vector of most queries
+    got = [tuple(r) for r in topk_threshold.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    want = brute(rows)
+    assert set(got) == want and len(got) == len({(q, tuple(math.floor(64 * x) for x in v)) for q, v in rows if q % 20 == 0}) * 20
+
+
 def test_top_k_few(spark):
     schema = "vec_id long, embedding array<double>"
     rows = [(20, [1.0, 2.0]), (3, [0.5, 1.0]), (4, [-1.0, 0.0])]
