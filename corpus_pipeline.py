@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's docs. All but the last return the
 columns of ``documents``. doc_id is taken as a key: rows that share one are
 dropped, kept and repeated together. Each row without one is judged by itself.
+
+Null texts count as empty, a null source is a source of its own, and other
+columns pass through whatever they hold or are called. Texts of any length are
+read whole. An empty table gives an empty result at every stage; without labels
+every score is 0.5, which rejects nothing, and without a benchmark nothing is
+contaminated. Of near copies the least doc_id stays; ties elsewhere leave the
+same rows (see each operator).
 """
 
 from __future__ import annotations
