@@ -258,7 +258,7 @@ def season_id_from_filename(path) -> Column:
 
 def date_from_player_filename(path, season_id) -> Column:
     """``player_match_data_<season>_<date>.csv`` -> ``<date>`` (NULL when the prefix differs)."""
-    base = F.regexp_extract(col(path), r"([^/]*)$", 1)
+    base = F.substring_index(col(path), "/", -1)
     prefix = F.concat(lit_str("player_match_data_"), season_file_key(season_id), lit_str("_"))
     ok = base.startswith(prefix) & base.endswith(".csv")
     inner = F.substr(base, F.length(prefix) + 1, F.length(base) - F.length(prefix) - 4)
