@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.operators import html_rows
 from touchline.operators.ingest import keeper_merge, missing_date_list, stored_dates
 from touchline.operators.player_season import SEASON_TOTALS, totals_and_ranks
 from touchline.plans.match_level_player import MATCH_CONTEXT, distinct_rows
@@ -107,3 +108,24 @@ def test_a_table_that_nothing_reads_leaves_no_files(spark):
     assert table.count() == 10 and os.path.isdir(folder)
     drop_table(table)
     assert not os.path.exists(folder)
+
+
+def test_whole_cells_of_a_row_are_not_read_tag_by_tag(monkeypatch):
+    def fail(*_):
+        raise AssertionError("a whole cell was opened")
+
+    monkeypatch.setattr(html_rows.StatsPage, "collect", fail)
+    row = ("<tr><th data-stat=home_team><a href='/x?a&amp;b'>A &amp; B</a> (c) <a href='/y'>D</a></th><TD DATA-STAT=\"score\" title='a > b'>1-0\n"
+           "<td data-stat='start_time'><span class='x venuetime'>10:00</span> <span>(local)</span></td><td data-stat='round'>R&amp;1</td> x <td data-stat='round'>no</td></tr>")
+    page = f"<div id=all_sched><table class=stats_table><tbody>{row}</tbody></table></div>"
+    keys = ["home_team", "score", "start_time", "round", "date"]
+    read = html_rows._reader([("all_sched", False)], keys, ["home_team"], "start_time", "venuetime", None, "-")
+    (found,) = next(read(iter([pa.record_batch({"html": [page]})]))).column("rows").to_pylist()
+    assert [(r["texts"], r["hrefs"], r["linked"], r["shown"]) for r in found] == [
+        (["A & B (c) D", "1-0", "10:00 (local)", "R&1", None], ["/x?a&b"], ["A & B"], "10:00")]
+
+
+def test_a_cell_is_ended_by_a_cell_alone():
+    cut = '<td data-stat="date>'  # never closed, so that it is text
+    assert [x for x in html_rows.pieces(f"<tr><td>1{cut}") if x[4]] == []
+    assert [x[4] for x in html_rows.pieces("<tr><td>1<td>2</td></tr>") if x[4]] == ["<td>1<td>2</td>"]
