@@ -6,14 +6,15 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import html_rows
+from tests.conftest import SMALL
+from touchline.operators import extract, html_rows
 from touchline.operators.ingest import keeper_merge, missing_date_list, stored_dates
 from touchline.operators.player_season import SEASON_TOTALS, totals_and_ranks
 from touchline.plans.match_level_player import MATCH_CONTEXT, distinct_rows
 from touchline.plans.matches_by_team import matches_by_team
 from touchline.schemas import PLAYER_COLUMNS
 from touchline.session import TASK_ROWS, drop_table, tasks_for, written_once
-from touchline.sources import csv_records
+from touchline.sources import csv_records, shim
 
 
 def plan(df, part="optimizedPlan"):
@@ -129,3 +130,23 @@ def test_a_cell_is_ended_by_a_cell_alone():
     cut = '<td data-stat="date>'  # never closed, so that it is text
     assert [x for x in html_rows.pieces(f"<tr><td>1{cut}") if x[4]] == []
     assert [x[4] for x in html_rows.pieces("<tr><td>1<td>2</td></tr>") if x[4]] == ["<td>1<td>2</td>"]
+
+
+def dim_rows(spark):
+    teams = spark.createDataFrame([("m1", "s_1", "A", "B", 1, 0), ("m2", "s_1", "B", "A", 2, 2), ("m3", "s_2", "A", "A", 1, 1), ("m4", "s_2", None, "C", 1, 3)],
+                                  "match_id string, season_id string, home_team_name string, away_team_name string, home_team_score int, away_team_score int")
+    return teams.select("*", F.lit("2020-01-01").cast("date").alias("match_date"), F.lit("10:00").alias("match_time"), F.lit("Regular Season").alias("game_type"),
+                        F.when(F.col("match_id") == "m2", "Draw").otherwise("Home Win").alias("match_result"))
+
+
+def test_player_context_takes_no_standings(spark):
+    dim = dim_rows(spark)
+    plain = matches_by_team(dim, 37, ranked=False)
+    assert not any("match_week_number" in line for line in plan(plain, "executedPlan").splitlines() if "Exchange" in line)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, matches_by_team(dim, 37).select(plain.columns).collect()))
+
+
+def test_running_totals_that_nobody_reads_are_not_joined(spark):
+    rows = matches_by_team(dim_rows(spark), 37, ranked=False).select("match_id", "team_name", "season_id")
+    assert "Join" not in plan(rows) and "Window" not in plan(rows)
+    assert sorted((r["match_id"], r["team_name"]) for r in rows.collect()) == [("m1", "A"), ("m1", "B"), ("m2", "A"), ("m2", "B"), ("m3", "A"), ("m4", "C")]
