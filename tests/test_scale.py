@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
-from touchline.operators import extract, html_rows
+from touchline.operators import html_rows
 from touchline.operators.ingest import keeper_merge, missing_date_list, stored_dates
 from touchline.operators.player_season import SEASON_TOTALS, totals_and_ranks
 from touchline.plans.match_level_player import MATCH_CONTEXT, distinct_rows
@@ -150,3 +150,20 @@ def test_running_totals_that_nobody_reads_are_not_joined(spark):
     rows = matches_by_team(dim_rows(spark), 37, ranked=False).select("match_id", "team_name", "season_id")
     assert "Join" not in plan(rows) and "Window" not in plan(rows)
     assert sorted((r["match_id"], r["team_name"]) for r in rows.collect()) == [("m1", "A"), ("m1", "B"), ("m2", "A"), ("m2", "B"), ("m3", "A"), ("m4", "C")]
+
+
+@pytest.mark.parametrize("rows", [lambda s: shim.schedule_capture(s, SMALL), lambda s: shim.player_capture_raw(s, SMALL)[0]])
+def test_wide_captures_have_code_of_their_own(spark, rows):
+    """The widest select is not in one method with the joins (``*``) before it, which the JVM would not compile."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows its code when it ran
+    try:
+        lines = plan(rows(spark), "executedPlan").splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert lines[0].startswith("Project ") and any("*(" in line for line in lines)
+
+
+def test_few_sides_are_left_to_the_session(spark, monkeypatch):
+    assert shim.side_tasks(spark, SMALL) is None
+    monkeypatch.setattr(shim, "TASK_ROWS", 10)
+    assert shim.side_tasks(spark, SMALL) >= 1

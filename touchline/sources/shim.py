@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from touchline.functions import text as X
 from touchline.operators.ingest import keeper_merge
 from touchline.schemas import GK_COLUMNS, MATCH_STATS_COLUMNS, PLAYER_COLUMNS
-from touchline.session import tasks_for
+from touchline.session import TASK_ROWS, tasks_for
 
 BASE_URL = "https://stats.example.org"
 LEAGUE_ID = "73"
@@ -218,9 +218,11 @@ def player_tasks(spark: SparkSession, sf_dir: str) -> int:
     return tasks_for(spark, read_table(spark, sf_dir, "lineitem").count())
 
 
-def side_tasks(spark: SparkSession, sf_dir: str) -> int:
-    """Tasks for a shuffle of the matches' sides, two of each order."""
-    return tasks_for(spark, 2 * read_table(spark, sf_dir, "orders").count())
+def side_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """Tasks for a shuffle of the matches' sides, two of each order; None, which
+    lets Spark join small tasks, where one task could take them all."""
+    rows = 2 * read_table(spark, sf_dir, "orders").count()
+    return tasks_for(spark, rows) if rows > TASK_ROWS else None
 
 
 __all__ = [
