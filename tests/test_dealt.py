@@ -64,3 +64,13 @@ def test_player_mart_numbers_large_seasons_by_range(spark, players, context):  #
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
     numbers = sorted(r["season_appearances_number"] for r in many.filter("player_id is null").collect())
     assert numbers == [*range(1, len(numbers) + 1)] and len(numbers) == 20
+
+
+def test_pages_are_not_shuffled(spark, shuffled):
+    lines = plan(pages.match_pages(spark, SMALL), "executedPlan").splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "Exchange" in line:
+            below = lines[i + 1 :]
+            end = next((k for k, x in enumerate(below) if depth(x) <= depth(line)), len(below))
+            assert not any("collect_list" in x for x in below[:end]), line
