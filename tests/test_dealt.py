@@ -50,6 +50,12 @@ def test_small_numbers_travel_as_bytes(spark):
     assert sorted(map(str, out.drop("_of_3").collect())) == sorted(map(str, df.collect()))
 
 
+@pytest.mark.parametrize("name", ["player_season_age", "player_season_totals"])
+def test_player_seasons_leave_no_shuffle_of_the_matches_beside_the_rows(spark, name):
+    text = plan(REGISTRY[name][0](spark, SMALL), "executedPlan")
+    assert "customer.parquet" not in text or "dense_rank" not in text and text.count("customer.parquet") <= 2  # the rows' and the keepers' matches
+
+
 @pytest.mark.parametrize("name", ["match_level_player_data", "appearance_number"])
 def test_player_mart_shuffles_and_sorts_its_rows_once_for_numbers_and_figures(spark, shuffled, name):
     text = plan(REGISTRY[name][0](spark, SMALL), "executedPlan")

@@ -20,7 +20,7 @@ from touchline.operators.running import RUNNING_COLUMNS
 from touchline.operators.sequence import GRAIN_KEY
 from touchline.operators.sides import distinct_teams
 from touchline.operators.standings import STANDINGS
-from touchline.plans.match_level_player import attach_match_context, distinct_rows
+from touchline.plans.match_level_player import attach_match_context, distinct_rows, match_context
 from touchline.plans.matches_by_team import team_match_rows
 from touchline.registry import league_dim_match, league_matches_by_team, register
 from touchline.schemas import PLAYER_MATCH_STATS
@@ -301,7 +301,7 @@ def q_season_position_summary(spark, sf_dir):
 
 
 def _dedup_rows(spark, sf_dir):
-    rows = distinct_rows(shim.player_match_stats(spark, sf_dir), league_matches_by_team(spark, sf_dir, ranked=False), shim.player_tasks(spark, sf_dir))
+    rows = distinct_rows(shim.player_match_stats(spark, sf_dir, by_match=True), match_context(league_matches_by_team(spark, sf_dir, ranked=False)))
     return rows.withColumn("age_numeric", X.age_numeric("age"))
 
 
