@@ -72,6 +72,26 @@ def test_player_mart_numbers_large_seasons_by_range(spark, players, context):  #
     assert numbers == [*range(1, len(numbers) + 1)] and len(numbers) == 20
 
 
+@pytest.mark.parametrize("name", ["csv_raw_roundtrip"])
+def test_file_layers_shuffle_their_rows_once_and_pack_their_files(spark, shuffled, monkeypatch, name):
+    tables, written = [], []
+    monkeypatch.setattr(Q, "written_once", lambda df, n, keep=Q.written_once: tables.append(plan(df, "executedPlan")) or keep(df, n))
+    monkeypatch.setattr(S, "write_partitioned", lambda df, path, *x, keep=S.write_partitioned, **y: written.append(path) or keep(df, path, *x, **y))
+    REGISTRY[name][0](spark, SMALL)
+    (text,) = tables
+    assert "Exchange" not in text[: text.index("_of_")].split("SortMergeJoin", 1)[0] and text.count("Exchange shufflepartitionid") == 3
+    files = [f for at, _, names in os.walk(written[0]) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_packed_files_come_back_whole(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(S, "PACKED_RECORDS", 7)
+    rows = [(f"p{i}", "m", "a\n" * (i % 5) + '"q", \r\n', str(i)) for i in range(60)]
+    S.write_partitioned(spark.createDataFrame(rows, "player_id string, season string, player string, goals string"), f"{tmp_dir}/z", ["season"], packed=True)
+    assert len([f for f in os.listdir(f"{tmp_dir}/z/season=m") if f.endswith(".csv.gz")]) >= 8
+    assert sorted(map(tuple, S.read_csv_by_name(spark, f"{tmp_dir}/z", ["player_id", "player", "goals"]).collect())) == sorted((p, x, g) for p, _, x, g in rows)
+
+
 def test_pages_are_not_shuffled(spark, shuffled):
     lines = plan(pages.match_pages(spark, SMALL), "executedPlan").splitlines()
     depth = lambda line: len(line) - len(line.lstrip(" :+-"))
