@@ -72,7 +72,7 @@ def test_player_mart_numbers_large_seasons_by_range(spark, players, context):  #
     assert numbers == [*range(1, len(numbers) + 1)] and len(numbers) == 20
 
 
-@pytest.mark.parametrize("name", ["csv_raw_roundtrip"])
+@pytest.mark.parametrize("name", ["csv_raw_roundtrip", "player_day_files"])
 def test_file_layers_shuffle_their_rows_once_and_pack_their_files(spark, shuffled, monkeypatch, name):
     tables, written = [], []
     monkeypatch.setattr(Q, "written_once", lambda df, n, keep=Q.written_once: tables.append(plan(df, "executedPlan")) or keep(df, n))
